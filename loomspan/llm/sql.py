@@ -51,3 +51,18 @@ SELECT doc_id, size, source_size, target,
   (size * (round(target)::BIGINT // greatest(source_size, 1))
    + greatest(0, least(start + size, round(target)::BIGINT % greatest(source_size, 1)) - start))::BIGINT AS taken
 FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source"""
+
+# windows of 50 bytes as 100 hex digits; a byte goes if a window over it starts in a smaller document too
+ORACLES["op7_suffix_array_dedup"] = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+s AS (SELECT rid, doc_id, p, substr(x, 2 * p + 1, 100) AS w FROM (SELECT *, unnest(range(0, greatest(0, length(x) // 2 - 49))) AS p FROM d)),
+hit AS (SELECT rid, p FROM (SELECT rid, p, doc_id, min(doc_id) OVER (PARTITION BY w) AS least FROM s) WHERE doc_id > least),
+b AS (SELECT rid, p, max(p) OVER (PARTITION BY rid ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM hit),
+r AS (SELECT rid, p, sum(CASE WHEN before IS NULL OR p > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY p) AS g FROM b),
+g AS (SELECT rid, g, min(p) AS lo, max(p) + 50 AS hi, lead(min(p)) OVER (PARTITION BY rid ORDER BY g) AS nxt FROM r GROUP BY rid, g),
+k AS (SELECT g.rid, count(*) AS n_spans, sum(hi - lo) AS n_removed,
+        substr(any_value(x), 1, 2 * min(lo)) || string_agg(substr(x, 2 * hi + 1, 2 * (coalesce(nxt, length(x) // 2) - hi)), '' ORDER BY lo) AS kept
+      FROM g JOIN d ON g.rid = d.rid GROUP BY g.rid)
+SELECT d.doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept, x))) AS kept_sha256
+FROM d LEFT JOIN k ON d.rid = k.rid"""
