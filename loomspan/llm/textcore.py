@@ -89,10 +89,11 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and for each text the first word's index
-    (length + 1).  ``offsets`` starts at 0 and ends at len(data)."""
-    word = ~SPACE[data]
+    (length + 1).  ``offsets`` starts at 0 and ends at len(data); ``between`` tells
+    which bytes are outside words."""
+    word = ~between[data]
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
     left = np.empty(len(data), bool)
