@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspan.llm import common, mixing, pii, quality, substrings, tokens
+from loomspan.llm import common, mixing, pii, quality, substrings, tokens, toxicity
 from loomspan.llm.sql import ORACLES  # noqa: F401
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -26,6 +26,11 @@ def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(common.documents(spark, sf_dir))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed, _ = mixing.mix_sources(common.documents(spark, sf_dir))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -40,4 +45,4 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_quality_rules, op7_suffix_array_dedup, op9_mixing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_quality_rules, op7_suffix_array_dedup, op8_toxicity, op9_mixing, op10_token_counts)}

@@ -2,7 +2,7 @@
 
 Inputs of a word are a trained vector of its hash bucket and the mean of trained
 vectors of the character strings that it begins with.  Windows of ``WINDOW`` words that overlap by half or more
-cover the whole text; two GRUs of ``HIDDEN`` units read each window from either
+cover the whole text (a word said again and again counts once); two GRUs of ``HIDDEN`` units read each window from either
 side, attention pools their states, and a logit is made of the pool.  A text's
 score is the largest of its windows' probabilities.
 
@@ -44,6 +44,9 @@ DROPOUT = 0.15
 BUCKETS = 1 << 16
 MAX_TRAIN = 1500
 EPOCHS = 14
+#: Small training sets are seen more often, until this many steps are taken.
+LEAST_STEPS = 400
+BATCH = 96
 FOLDS = 5
 CHUNK = 1 << 20
 
@@ -65,6 +68,11 @@ class Words:
         self.starts, self.ends, self.first = textcore.word_spans(self.data, off, _BETWEEN)
         h = textcore.span_hash(textcore.rolling(self.data), self.starts, self.ends)
         self.bucket = (h % np.uint64(BUCKETS)).astype(np.int64)
+        # a word that repeats the one before it adds nothing
+        doc = np.repeat(np.arange(len(off) - 1), np.diff(self.first))
+        fresh = np.append(True, (self.bucket[1:] != self.bucket[:-1]) | (doc[1:] != doc[:-1]))[: len(doc)]
+        self.starts, self.ends, self.bucket = self.starts[fresh], self.ends[fresh], self.bucket[fresh]
+        self.first = np.append(0, np.cumsum(np.bincount(doc[fresh], minlength=len(off) - 1)))
         n = np.diff(self.first)
         # the last window ends at or after the last word
         per = np.maximum(1, -(-(n - WINDOW) // STRIDE) + 1)
@@ -85,12 +93,12 @@ class Words:
         h = textcore.span_hash(textcore.rolling(self.data), self.starts[word], self.starts[word] + length)
         return (h % np.uint64(BUCKETS)).astype(np.int64), at
 
-    def inputs(self, m: dict) -> np.ndarray:
+    def inputs(self, m: dict, grams: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
         """Each word's input: its own vector and the mean of its leading strings';
         the last row is the padding's."""
         out = np.zeros((len(self.starts) + 1, WORD_DIM + CHAR_DIM), np.float32)
         out[:-1, :WORD_DIM] = m["E"][self.bucket]
-        gram, at = self.grams()
+        gram, at = grams or self.grams()
         some = np.flatnonzero(np.diff(at))
         if len(some):
             out[some, WORD_DIM:] = np.add.reduceat(m["C"][gram], at[some], axis=0) / np.diff(at)[some][:, None]
@@ -255,37 +263,47 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     doc = np.repeat(np.arange(len(y)), np.diff(words.first))
     odds, count = _log_odds(doc, words.bucket, y)
     gram_odds, gram_count = _log_odds(np.repeat(doc, np.diff(grams[1])), grams[0], y)
-    known = {"E": (count >= LEAST_TEXTS)[:, None], "C": (gram_count >= LEAST_TEXTS)[:, None]}
-    m["E"][:, 0], m["C"][:, 0] = odds / 3, gram_odds / 3
-    for k, rows_known in known.items():
-        m[k] *= rows_known
+    # in training, only buckets of enough texts have rows; row 0 is all others', and zero
+    known = {"E": np.flatnonzero(count >= LEAST_TEXTS), "C": np.flatnonzero(gram_count >= LEAST_TEXTS)}
+    row = {}
+    for k, init in (("E", odds), ("C", gram_odds)):
+        m[k][:, 0] = init / 1.5
+        m[k] = np.concatenate([np.zeros((1, m[k].shape[1]), np.float32), m[k][known[k]]])
+        row[k] = np.zeros(BUCKETS, np.int64)
+        row[k][known[k]] = np.arange(1, len(known[k]) + 1)
+    words.bucket, grams = row["E"][words.bucket], (row["C"][grams[0]], grams[1])
     r = np.random.default_rng(seed)
-    per_word = m["E"][words.bucket, 0] + words.inputs(m)[:-1, WORD_DIM]
+    x = words.inputs(m, grams)
+    per_word = x[:-1, 0] + x[:-1, WORD_DIM]
     scores = np.append(per_word, -99.0)[words.index].max(1)
     mean, var, t = {k: np.zeros_like(v) for k, v in m.items()}, {k: np.zeros_like(v) for k, v in m.items()}, 0
-    for epoch in range(epochs):
+    per_epoch = max(1, (len(y) + int((y == 0).sum())) // BATCH)
+    for epoch in range(max(epochs, -(-LEAST_STEPS // per_epoch))):
         if epoch:
-            scores = _all_logits(m, words)
+            scores = _all_logits(m, words, grams)
         order = np.lexsort((-scores, words.doc))
         place = np.arange(len(order)) - words.window_of_doc[words.doc[order]]
         # the highest window of each text, and of clean ones the second too
-        pick = order[(place == 0) | ((place == 1) & (y[words.doc[order]] == 0))]
+        pick = order[(place == 0) | ((place < 2) & (y[words.doc[order]] == 0))]
         r.shuffle(pick)
-        for batch in np.array_split(pick, max(1, len(pick) // 128)):
+        for batch in np.array_split(pick, max(1, len(pick) // BATCH)):
             grads = {k: np.zeros_like(v) for k, v in m.items()}
             _step(m, words, grams, batch, y[words.doc[batch]], grads, r.random((len(batch), WINDOW)))
-            for k, rows_known in known.items():
-                grads[k] *= rows_known
+            grads["E"][0] = grads["C"][0] = 0
             t += 1
             for k, g in grads.items():
                 mean[k] += 0.1 * (g - mean[k])
                 var[k] += 0.01 * (g * g - var[k])
                 m[k] -= 0.01 * (mean[k] / (1 - 0.9**t)) / (np.sqrt(var[k] / (1 - 0.99**t)) + 1e-6)
+    for k in ("E", "C"):
+        full = np.zeros((BUCKETS, m[k].shape[1]), np.float32)
+        full[known[k]] = m[k][1:]
+        m[k] = full
     return m
 
 
-def _all_logits(m: dict, words: Words, step: int = 20_000) -> np.ndarray:
-    x = words.inputs(m)
+def _all_logits(m: dict, words: Words, grams: tuple[np.ndarray, np.ndarray], step: int = 20_000) -> np.ndarray:
+    x = words.inputs(m, grams)
     out = []
     for i in range(0, len(words.index), step):
         states, mask = _states_of(m, x, words.index[i : i + step], len(words.starts))
