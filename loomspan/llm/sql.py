@@ -66,3 +66,16 @@ k AS (SELECT g.rid, count(*) AS n_spans, sum(hi - lo) AS n_removed,
 SELECT d.doc_id, (length(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
   sha256(unhex(coalesce(kept, x))) AS kept_sha256
 FROM d LEFT JOIN k ON d.rid = k.rid"""
+
+# shingles as joined text: a word has no blank; short texts carry a mark that no 5-word shingle has
+ORACLES["op4_jaccard_rtree"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, list_transform({_WORDS}, lambda w: translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5
+          THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
+          WHEN len(ws) > 0 THEN ['short ' || len(ws) || ':' || array_to_string(ws, ' ')] ELSE [] END) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM o JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * o >= 75 * (a.n + b.n - o)),
+r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.y) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.x = d.doc_id GROUP BY d.doc_id"""
