@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspan.llm import common, mixing, pii, quality, shingles, substrings, tokens, toxicity
+from loomspan.llm import common, lines, mixing, pii, quality, shingles, substrings, tokens, toxicity
 from loomspan.llm.sql import ORACLES  # noqa: F401
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -26,6 +26,10 @@ def op4_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingles.near_duplicates(common.documents(spark, sf_dir))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(common.documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "kept_sha256")
+
+
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(common.documents(spark, sf_dir))
 
@@ -49,4 +53,4 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_quality_rules, op4_jaccard_rtree, op7_suffix_array_dedup, op8_toxicity, op9_mixing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_quality_rules, op4_jaccard_rtree, op6_line_dedup, op7_suffix_array_dedup, op8_toxicity, op9_mixing, op10_token_counts)}
