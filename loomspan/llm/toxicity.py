@@ -93,18 +93,47 @@ class Words:
         h = textcore.span_hash(textcore.rolling(self.data), self.starts[word], self.starts[word] + length)
         return (h % np.uint64(BUCKETS)).astype(np.int64), at
 
-    def inputs(self, m: dict, grams: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
-        """Each word's input: its own vector and the mean of its leading strings';
-        the last row is the padding's."""
-        out = np.zeros((len(self.starts) + 1, WORD_DIM + CHAR_DIM), np.float32)
-        out[:-1, :WORD_DIM] = m["E"][self.bucket]
+    def inputs(self, m: dict, grams: tuple[np.ndarray, np.ndarray] | None = None, lo: int = 0, hi: int | None = None) -> np.ndarray:
+        """Inputs of the words lo to hi: each word's own vector and the mean of its
+        leading strings'; the last row is the padding's."""
         gram, at = grams or self.grams()
+        bucket, at = self.bucket[lo:hi], at[lo : None if hi is None else hi + 1]
+        out = np.zeros((len(bucket) + 1, WORD_DIM + CHAR_DIM), np.float32)
+        out[:-1, :WORD_DIM] = m["E"][bucket]
         some = np.flatnonzero(np.diff(at))
         if len(some):
-            out[some, WORD_DIM:] = np.add.reduceat(m["C"][gram], at[some], axis=0) / np.diff(at)[some][:, None]
+            out[some, WORD_DIM:] = np.add.reduceat(m["C"][gram[at[0] : at[-1]]], at[some] - at[0], axis=0) / np.diff(at)[some][:, None]
         return out
 
 
+class Training:
+    """What training needs of many texts, without their bytes: buckets of words
+    and leading strings, and windows.  Built a megabyte at a time."""
+
+    inputs = Words.inputs
+
+    def __init__(self, raw: list[bytes]):
+        off = np.cumsum([0, *map(len, raw)])
+        bucket, gram, count, index, doc, n = [], [], [], [], [], 0
+        sizes = [np.zeros(1, np.int64)]
+        for lo, hi in textcore.chunks(off, CHUNK):
+            w = Words(np.frombuffer(b"".join(raw[lo:hi]), np.uint8), off[lo : hi + 1] - off[lo])
+            g, at = w.grams()
+            bucket.append(w.bucket.astype(np.int32))
+            gram.append(g.astype(np.int32))
+            count.append(np.diff(at).astype(np.int32))
+            index.append(np.where(w.index < len(w.starts), w.index + n, -1).astype(np.int32))
+            doc.append((w.doc + lo).astype(np.int32))
+            sizes.append(np.diff(w.first))
+            n += len(w.starts)
+        self.n, self.bucket, self.doc = n, np.concatenate(bucket), np.concatenate(doc)
+        self.index = np.concatenate(index)
+        self.index[self.index < 0] = n
+        self.first = np.cumsum(np.concatenate(sizes))
+        self.gram, self.at = np.concatenate(gram), np.append(0, np.cumsum(np.concatenate(count), dtype=np.int64))
+        self.window_of_doc = np.searchsorted(self.doc, np.arange(len(raw) + 1))
+
+
 def new_model(seed: int = 7) -> dict[str, np.ndarray]:
     r = np.random.default_rng(seed)
     d, h = WORD_DIM + CHAR_DIM, HIDDEN
@@ -189,16 +218,16 @@ def score_texts(m: dict, data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
-def _step(m: dict, words: Words, grams: tuple[np.ndarray, np.ndarray], rows: np.ndarray, y: np.ndarray, grads: dict, blank: np.ndarray | None = None) -> None:
+def _step(m: dict, words: Training, rows: np.ndarray, y: np.ndarray, grads: dict, blank: np.ndarray | None = None) -> None:
     """Adds the gradient of the mean loss of some windows to ``grads``; ``blank``
     has a chance in [0, 1) per window and place."""
     index = words.index[rows]
-    n = len(words.starts)
+    n = words.n
     used, local = np.unique(index, return_inverse=True)
     # words of this batch only, with padding last
     table = np.append(used[used < n], n)
     local = local.reshape(index.shape)
-    gram, at = grams
+    gram, at = words.gram, words.at
     size = np.diff(at)[table[:-1]]
     owner = np.repeat(np.arange(len(size)), size)
     which = gram[np.arange(size.sum()) - np.repeat(np.append(0, np.cumsum(size))[:-1] - at[table[:-1]], size)]
@@ -258,11 +287,10 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
         m["o"][:], m["c"][:] = 0, -9.0 if len(rows) == 0 or y[0] == 0 else 9.0
         return m
     raw = [t.encode() for t, _ in rows]
-    words = Words(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
-    grams = words.grams()
+    words = Training(raw)
     doc = np.repeat(np.arange(len(y)), np.diff(words.first))
     odds, count = _log_odds(doc, words.bucket, y)
-    gram_odds, gram_count = _log_odds(np.repeat(doc, np.diff(grams[1])), grams[0], y)
+    gram_odds, gram_count = _log_odds(np.repeat(doc, np.diff(words.at)), words.gram, y)
     # in training, only buckets of enough texts have rows; row 0 is all others', and zero
     known = {"E": np.flatnonzero(count >= LEAST_TEXTS), "C": np.flatnonzero(gram_count >= LEAST_TEXTS)}
     row = {}
@@ -271,16 +299,14 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
         m[k] = np.concatenate([np.zeros((1, m[k].shape[1]), np.float32), m[k][known[k]]])
         row[k] = np.zeros(BUCKETS, np.int64)
         row[k][known[k]] = np.arange(1, len(known[k]) + 1)
-    words.bucket, grams = row["E"][words.bucket], (row["C"][grams[0]], grams[1])
+    words.bucket, words.gram = row["E"][words.bucket], row["C"][words.gram]
     r = np.random.default_rng(seed)
-    x = words.inputs(m, grams)
-    per_word = x[:-1, 0] + x[:-1, WORD_DIM]
-    scores = np.append(per_word, -99.0)[words.index].max(1)
+    scores = _first_scores(m, words)
     mean, var, t = {k: np.zeros_like(v) for k, v in m.items()}, {k: np.zeros_like(v) for k, v in m.items()}, 0
     per_epoch = max(1, (len(y) + int((y == 0).sum())) // BATCH)
     for epoch in range(max(epochs, -(-LEAST_STEPS // per_epoch))):
         if epoch:
-            scores = _all_logits(m, words, grams)
+            scores = _all_logits(m, words)
         order = np.lexsort((-scores, words.doc))
         place = np.arange(len(order)) - words.window_of_doc[words.doc[order]]
         # the highest window of each text, and of clean ones the second too
@@ -288,7 +314,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
         r.shuffle(pick)
         for batch in np.array_split(pick, max(1, len(pick) // BATCH)):
             grads = {k: np.zeros_like(v) for k, v in m.items()}
-            _step(m, words, grams, batch, y[words.doc[batch]], grads, r.random((len(batch), WINDOW)))
+            _step(m, words, batch, y[words.doc[batch]], grads, r.random((len(batch), WINDOW)))
             grads["E"][0] = grads["C"][0] = 0
             t += 1
             for k, g in grads.items():
@@ -302,20 +328,30 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     return m
 
 
-def _all_logits(m: dict, words: Words, grams: tuple[np.ndarray, np.ndarray], step: int = 20_000) -> np.ndarray:
-    x = words.inputs(m, grams)
-    out = []
+def _parts(words: Training, step: int = 4000):
+    """Windows a few at a time: their place, the range of their words, and their
+    word indexes within it (padding comes last)."""
     for i in range(0, len(words.index), step):
-        states, mask = _states_of(m, x, words.index[i : i + step], len(words.starts))
-        out.append(_pool(m, states, mask)[0])
+        index = words.index[i : i + step]
+        real = index < words.n
+        lo, hi = (int(index[real].min()), int(index[real].max()) + 1) if real.any() else (0, 0)
+        yield lo, hi, np.where(real, index - lo, hi - lo)
+
+
+def _first_scores(m: dict, words: Training) -> np.ndarray:
+    out = []
+    for lo, hi, index in _parts(words):
+        x = words.inputs(m, (words.gram, words.at), lo, hi)
+        out.append(np.append(x[:-1, 0] + x[:-1, WORD_DIM], -99.0)[index].max(1))
     return np.concatenate(out)
 
 
-def _states_of(m: dict, x: np.ndarray, index: np.ndarray, n: int):
-    """Like ``_states`` for a few windows of many words: projects those words only."""
-    lo, hi = int(index.min()), int(index[index < n].max(initial=0)) + 1
-    table = np.concatenate([x[lo:hi], x[n : n + 1]])
-    return _states(m, table, np.where(index < n, index - lo, hi - lo), hi - lo)
+def _all_logits(m: dict, words: Training) -> np.ndarray:
+    out = []
+    for lo, hi, index in _parts(words):
+        states, mask = _states(m, words.inputs(m, (words.gram, words.at), lo, hi), index, hi - lo)
+        out.append(_pool(m, states, mask)[0])
+    return np.concatenate(out)
 
 
 def held_out(id_col: Column) -> Column:
