@@ -135,7 +135,7 @@ def _count_anchors(parts: int):
                     anchors.append(anchor[new])
                     n += int(new.sum())
                 ids.extend(keys[lo:hi].tolist())
-                if n > 4_000_000 or len(ids) > 60_000:
+                if n > 1_000_000 or len(ids) > 60_000:
                     yield from flush(ids, docs, anchors)
                     ids, docs, anchors, n = [], [], [], 0
         yield from flush(ids, docs, anchors)
