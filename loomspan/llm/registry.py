@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspan.llm import common, lines, mixing, pii, quality, shingles, substrings, tokens, toxicity
+from loomspan.llm import common, leaks, lines, mixing, pii, preference, quality, shingles, substrings, tokens, toxicity
 from loomspan.llm.sql import ORACLES  # noqa: F401
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -22,10 +22,25 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(common.documents(spark, sf_dir)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks.find_leaks(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "item_id", F.round("lcs_share", 6).alias("lcs_share"), F.round("answer_share", 6).alias("answer_share"))
+
+
 def op4_jaccard_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingles.near_duplicates(common.documents(spark, sf_dir))
 
 
+def _ranges(c: str):
+    return F.array_join(F.transform(c, lambda r: F.concat_ws(":", r["start"], r["end"])), ",")
+
+
+def op5_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    out = preference.format_pairs(preference.pair_conversations(turns))
+    return out.select("conv_id", "prompt_turns", "prompt", "chosen_completion", _ranges("chosen_mask").alias("chosen_mask"), "rejected_completion", _ranges("rejected_mask").alias("rejected_mask"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(common.documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "kept_sha256")
 
@@ -53,4 +68,4 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_quality_rules, op4_jaccard_rtree, op6_line_dedup, op7_suffix_array_dedup, op8_toxicity, op9_mixing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_quality_rules, op3_decontamination, op4_jaccard_rtree, op5_preference_format, op6_line_dedup, op7_suffix_array_dedup, op8_toxicity, op9_mixing, op10_token_counts)}

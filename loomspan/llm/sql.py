@@ -79,3 +79,19 @@ l AS (SELECT x, y FROM o JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE
 r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
 SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.y) AS component_id
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.x = d.doc_id GROUP BY d.doc_id"""
+
+# the prompt is all turns before the first that differs; here only the last can
+ORACLES["op5_preference_format"] = """
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k,
+    coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+n AS (SELECT conv_id, count(*) AS n, arg_max(role, k) AS role, arg_max(text, k) AS text FROM t GROUP BY conv_id),
+p AS (SELECT a.conv_id, a.n, a.role, a.text AS mine, b.text AS other,
+        CASE WHEN b.text = a.text THEN a.n ELSE a.n - 1 END AS m FROM n a LEFT JOIN n b ON xor(a.conv_id, 1) = b.conv_id),
+q AS (SELECT t.conv_id, string_agg('<|' || t.role || '|>' || chr(10) || t.text || chr(10) || '<|end|>' || chr(10), '' ORDER BY k) AS prompt
+      FROM t JOIN p ON t.conv_id = p.conv_id AND k <= m GROUP BY t.conv_id)
+SELECT p.conv_id, m::BIGINT AS prompt_turns, coalesce(prompt, '') AS prompt,
+  CASE WHEN m < n THEN '<|' || role || '|>' || chr(10) || mine || chr(10) || '<|end|>' || chr(10) ELSE '' END AS chosen_completion,
+  CASE WHEN m < n AND role = 'assistant' THEN '14:' || (14 + length(mine) + 9) ELSE '' END AS chosen_mask,
+  CASE WHEN other IS NULL THEN NULL WHEN m < n THEN '<|' || role || '|>' || chr(10) || other || chr(10) || '<|end|>' || chr(10) ELSE '' END AS rejected_completion,
+  CASE WHEN other IS NULL THEN NULL WHEN m < n AND role = 'assistant' THEN '14:' || (14 + length(other) + 9) ELSE '' END AS rejected_mask
+FROM p LEFT JOIN q ON p.conv_id = q.conv_id"""
