@@ -8,6 +8,7 @@ import uuid
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Fixed value: the namespace of record ids.
 RECORD_NAMESPACE = uuid.UUID("6f6cf1ee-6a5f-5f2a-9c1e-7f0f1a2b3c4d")
@@ -42,7 +43,7 @@ def record_id(run_id: Column | str, index: Column | str, namespace: uuid.UUID =
     return F.concat(F.substring(h, 1, 8), F.lit("-"), F.substring(h, 9, 4), F.lit("-5"), F.substring(h, 14, 3), F.lit("-"), variant, F.substring(h, 18, 3), F.lit("-"), F.substring(h, 21, 12))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(s: pd.Series) -> pd.Series:
     """Unicode NFC; Spark has no built-in form of it."""
     return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFC", x))

@@ -26,7 +26,8 @@ def spearman(df: DataFrame, judge: str = "judge", human: str = "human") -> DataF
     side of one value.  Ranks are made per different value, then joined."""
     ranked = df.select(judge, human).join(_average_ranks(df, judge), judge).join(_average_ranks(df, human), human)
     x, y = f"{judge}_rank", f"{human}_rank"
-    stats = ranked.agg(F.count(F.lit(1)).alias("n"), F.corr(x, y).alias("r"), F.count_distinct(x).alias("dx"), F.count_distinct(y).alias("dy"))
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
+    stats = ranked.agg(F.count(F.lit(1)).alias("n"), (F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))).alias("r"), F.count_distinct(x).alias("dx"), F.count_distinct(y).alias("dy"))
     return stats.select("n", F.when((F.col("n") >= 3) & (F.col("dx") > 1) & (F.col("dy") > 1), F.col("r")).alias("rho"))
 
 
