@@ -181,7 +181,7 @@ def test_whole_run(spark, tmp_path):
 
 def test_cli_schema(capsys):
     assert cli.main(["schema"]) == 0
-    assert json.loads(capsys.readouterr().out)["title"] == "TicketRecord"
+    assert json.loads(capsys.readouterr().out)["title"] == "Record"
 
 
 def test_versions():
