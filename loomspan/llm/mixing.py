@@ -15,8 +15,9 @@ No window holds a whole source: word positions are summed over hash buckets firs
 then within a bucket, so that a source with a third of all rows is many tasks.
 
 Defined results: a null or empty text has size 0 and is taken 0 times; a null
-source is a source of its own, the last; repeated rows are separate documents of
-the stream; other columns are ignored; an empty table gives an empty result.
+source is a source of its own, the last; documents with a null id come last in their
+source's stream, smaller ones first; repeated rows are separate documents of the
+stream; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ BLOCK_WORDS = 4096
 SLOTS_PER_SOURCE = 512
 #: Pieces in which a source's stream is summed.
 BUCKETS = 1024
+#: Pieces of the documents of one source and size that have a null id.
+NULL_PIECES = 16
 _GOLDEN = 0.6180339887498949
 
 
@@ -67,14 +70,19 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epo
 
 
 def _shuffled(docs: DataFrame) -> DataFrame:
-    """Adds ``start``: words of the source's stream before the document."""
-    docs = docs.withColumn("key", F.md5(F.col("doc_id").cast("string"))).withColumn("bucket", F.conv(F.substring("key", 1, 4), 16, 10).cast("int") % BUCKETS)
+    """Adds ``start``: words of the source's stream before the document.
+
+    Null ids have buckets above all others, in the order of size.  Those of one
+    source and size can't be told apart, so ``piece`` may deal them in any way."""
+    docs = docs.withColumn("key", F.md5(F.col("doc_id").cast("string")))
+    hashed = F.conv(F.substring("key", 1, 4), 16, 10).cast("long") % BUCKETS
+    docs = docs.withColumn("bucket", F.coalesce(hashed, BUCKETS + F.col("size") * NULL_PIECES + F.col("piece")))
     per = docs.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     per = per.select(F.col("source").alias("s"), F.col("bucket").alias("b"), F.coalesce(F.sum("bucket_size").over(before), F.lit(0)).alias("offset"))
     inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     docs = docs.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    return docs.join(per, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).withColumn("start", F.col("offset") + F.col("within")).drop("s", "b", "offset", "within", "bucket", "key")
+    return docs.join(per, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b"))).withColumn("start", F.col("offset") + F.col("within")).drop("s", "b", "offset", "within", "bucket", "key", "piece")
 
 
 def slot_schedule(targets: DataFrame, block_words: int = BLOCK_WORDS, slots_per_source: int = SLOTS_PER_SOURCE) -> DataFrame:
@@ -124,7 +132,8 @@ def mix_sources(df: DataFrame, text_col: str = "text", source_col: str = "source
     Documents: id, ``source``, ``size``, ``source_size``, ``target``, ``taken``
     (words, repeats counted).  Only ids, sources and sizes are shuffled.
     """
-    docs = common.written(df.select(df[id_col].alias("doc_id"), df[source_col].alias("source"), common.word_count(df[text_col]).alias("size")), "mix-docs")
+    piece = F.pmod(F.monotonically_increasing_id(), F.lit(NULL_PIECES))
+    docs = common.written(df.select(df[id_col].alias("doc_id"), df[source_col].alias("source"), common.word_count(df[text_col]).alias("size"), piece.alias("piece")), "mix-docs")
     targets = common.written(source_targets(docs), "mix-targets")
     schedule = common.written(slot_schedule(targets), "mix-schedule")
     size, start = F.col("size"), F.col("start")

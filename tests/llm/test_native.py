@@ -4,9 +4,12 @@ import json
 import random
 from collections import Counter
 
+import duckdb
+from helpers import rows_of, rows_of_sql
 from pyspark.sql import functions as F
 
 from loomspan.llm import mixing, preference, quality
+from loomspan.llm.sql import ORACLES
 
 TEXTS = [None, "", "  \t", "a b c a b c x", "a b c d", "a a a a a", "x\nx\n\n \nx y\nx y", "é $ü# <b>|&% w\x0bq", "one two three " * 30, " ".join(map(str, range(200)))]
 
@@ -78,6 +81,20 @@ def test_mix(spark):
     assert mixing.mix_sources(df.limit(0))[0].count() == 0
 
 
+def test_mix_keeps_null_ids(spark, tmp_path):
+    """Null ids stay, as many as the SQL has, and each source meets its target."""
+    r = random.Random(6)
+    rows = [(None if i % 3 == 0 else i, r.choice(["a", "b", "b", None]), "w " * r.choice([0, 1, 5, 5, 30, 400])) for i in range(240)]
+    rows += [(None, "only nulls", "w " * n) for n in (3, 3, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    df.write.parquet(str(tmp_path / "documents"))
+    got = mixing.mix_sources(df)[0].select("doc_id", "size", "source_size", "target", "taken")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
+    assert rows_of(got) == rows_of_sql(con, ORACLES["op9_mixing"])
+    assert sum(x["doc_id"] is None for x in got.collect()) == sum(x[0] is None for x in rows)
+
+
 def test_one_source_and_no_words(spark):
     df = spark.createDataFrame([(1, "a", ""), (2, "a", None)], "doc_id long, source string, text string")
     assert [x["taken"] for x in mixing.mix_sources(df)[0].collect()] == [0, 0]
