@@ -116,6 +116,38 @@ def test_leaks_are_found(spark):
     assert leaks.find_leaks(df.limit(0), bench).count() == 0 and leaks.find_leaks(df, bench.limit(0)).count() == 0
 
 
+def test_no_leak_is_lost(spark):
+    """What is found is what judge() accepts of all pairs at every place: copies and
+    edits of short and long items, at every offset of the block grid."""
+    r = random.Random(9)
+    vocab = ["".join(r.choice(["an", "er", "th", "on", "re", "ti", "en"]) for _ in range(r.randrange(2, 8))) for _ in range(1500)]
+    prose = lambda n: [r.choice(vocab[:20] if r.random() < 0.5 else vocab) for _ in range(n)]
+    items = [prose(n) for n in (6, 8, 10, 12, 15, 19, 24, 40)]
+    docs = []
+    for d in range(96):
+        w, words = prose(72 + d % 7 * 12), list(items[d % 8])
+        for at in r.sample(range(len(words)), round(len(words) * (0, 0.2, 0.3, 0.4)[d // 24])):
+            words[at] = r.choice(vocab)
+        w[24 + d % 24 : 24 + d % 24] = words
+        docs.append((d, " ".join(w)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    space = leaks.fit_space(df)
+    held = leaks.prepare_items([(i, " ".join(w), None) for i, w in enumerate(items)], space)
+    want = set()
+    for d, text in docs:
+        h = leaks._words(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))[0]
+        for k, item in enumerate(held.words):
+            size = len(item) + 4 * leaks.BLOCK
+            if any(leaks.judge(item, held.answers[k], h[a : a + size])[0] for a in range(len(h))):
+                want.add((d, k))
+    got = leaks.find_leaks(df, bench, space=space).collect()
+    assert len(want) > 60 and {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
+    answered = spark.createDataFrame([(0, docs[0][1], "..."), (1, docs[1][1], docs[1][1][:20])], "item_id long, text string, answer string")
+    found = leaks.find_leaks(df, answered, answer_col="answer", space=space).collect()
+    assert {(0, 0), (1, 1)} <= {(r["doc_id"], r["item_id"]) for r in found}
+
+
 P = pytest.importorskip("public_tokenizers")
 
 
