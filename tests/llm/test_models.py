@@ -148,6 +148,17 @@ def test_no_leak_is_lost(spark):
     assert {(0, 0), (1, 1)} <= {(r["doc_id"], r["item_id"]) for r in found}
 
 
+def test_basis_decides_no_leak(spark):
+    """A basis that knows nothing of the texts, as of one outside the sample, finds the same."""
+    texts = [f"w{i % 7} x{i} y{i * i % 11} " * 4 + " ".join(f"i{i % 3}z{k}" for k in range(18)) for i in range(12)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(j, " ".join(f"i{j}z{k}" for k in range(18))) for j in range(3)], "item_id long, text string")
+    blind = leaks.Space(np.ones(leaks.FEATURES, np.float32), np.zeros((leaks.FEATURES, leaks.RANK), np.float32))
+    for space in (None, blind):
+        got = {(r["doc_id"], r["item_id"]) for r in leaks.find_leaks(df, bench, space=space).collect()}
+        assert got == {(i, i % 3) for i in range(12)}
+
+
 P = pytest.importorskip("public_tokenizers")
 
 
