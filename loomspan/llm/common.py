@@ -4,23 +4,27 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word separator class as Java and DuckDB regular expressions write it.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 
-#: Rows of a (long, long)-sized table that may be broadcast: about 32 MB.
-BROADCAST_ROWS = 1_000_000
+#: Bytes of a table's values that may be broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``;
-    only where that is unset (tests on one machine) a temporary one is made."""
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
+    Only where that is unset and all runs on one machine, a temporary one is made."""
     set_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not set_dir:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         set_dir = getattr(spark, "_loomspan_shared", None) or tempfile.mkdtemp(prefix="loomspan-")
         spark._loomspan_shared = set_dir
     return set_dir.rstrip("/")
@@ -35,13 +39,35 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/loomspan/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._loomspan_path = path
+    return out
 
 
-def small(df: DataFrame, rows: int | None = None) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``rows`` rows, else as it is,
-    so that Spark shuffles it.  ``df`` should be a written table, as it is counted."""
-    return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if rows is None else rows) else df
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of ``written`` that nothing reads any more."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._loomspan_path)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _width(field: T.StructField) -> Column:
+    """Bytes of a column's value, about."""
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0)) + 8
+    if isinstance(field.dataType, T.ArrayType):
+        return F.greatest(F.size(c), F.lit(0)) * 8 + 8
+    return F.lit(8)
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if its values have at most ``BROADCAST_BYTES``, else
+    as it is, so that Spark shuffles it.  ``df`` should be made of a written table, as
+    its values are added up.  Arrays are taken to hold numbers."""
+    width = reduce(add, (_width(f) for f in df.schema.fields)).cast("long")
+    size = df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +82,3 @@ def word_count(text: Column) -> Column:
         - F.when(F.element_at(parts, 1) == "", 1).otherwise(0)
         - F.when((F.size(parts) > 1) & (F.element_at(parts, -1) == ""), 1).otherwise(0)
     ).cast("long")
-
-
-def arrow_map(df: DataFrame, f: Callable, schema: str) -> DataFrame:
-    return df.mapInArrow(f, schema)

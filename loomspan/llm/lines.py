@@ -1,9 +1,11 @@
 """Line dedup with deletion neighbourhoods over words.
 
-A line is removed if an earlier line (smaller document id, then line number) is
-within one word's insertion, deletion or replacement of it; lines of fewer than
-``NEAR_WORDS`` words, and pairs with such a line, must have equal words.  Lines are
-judged on the input, not on what is left.  Lines without a word always stay.
+A line is removed if an earlier line (smaller document id, then line number) has the
+same words, or is within the edit bound of it: one word inserted, left out or replaced
+for each ``WORDS_PER_EDIT`` words of the longer line, and one at most.  The bound grows
+with the line, as one word of a line of two is half of what it says; so lines of fewer
+words than that are near only if equal.  Lines are judged on the input, not on what is
+left.  Lines without a word always stay.
 
 1. *Classes.*  Lines with equal words are one class, with its first place.
 2. *Halves.*  Of two lines within the bound one half is untouched, so a class goes
@@ -19,8 +21,9 @@ judged on the input, not on what is left.  Lines without a word always stay.
 5. Of every class the first line stays, unless verification removed it.
 
 Defined results: a null or empty text has no lines with words and is kept as it
-is; a null id counts as larger than every other; two rows equal in id and text
-can't be told apart, and keep the same lines; other columns are ignored by the
+is; a null id counts as larger than every other; of rows equal in id and text any
+one comes first, and the others lose all their lines with words; rows of one id and
+different texts are ordered by a hash of the text; other columns are ignored by the
 digest and kept by ``drop_lines``; an empty table gives an empty result.
 """
 
@@ -31,12 +34,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomspan.llm import common, textcore
 
-NEAR_WORDS = 8
+#: Words of the longer of two lines that allow one edited word.
+WORDS_PER_EDIT = 4
+#: Words whose variants are made together.
+VARIANT_WORDS = 200_000
 NULL_ID = (1 << 63) - 1
 _PLACE = np.uint64(0xD6E8FEB86659FD93)
 
@@ -46,7 +52,7 @@ class Lines:
 
     def __init__(self, data: np.ndarray, off: np.ndarray):
         starts, ends, first = textcore.word_spans(data, off)
-        self.words = textcore.span_hash(textcore.rolling(data), starts, ends)
+        words = textcore.hash_spans(data, starts, ends)
         feeds = np.flatnonzero(data == 10)
         doc = np.repeat(np.arange(len(off) - 1), np.diff(first))
         # a word's line is the number of line feeds before it in its text
@@ -55,36 +61,36 @@ class Lines:
         self.a = np.flatnonzero(new)
         self.b = np.append(self.a[1:], len(doc))[: len(self.a)]
         self.doc, self.line = doc[self.a], line[self.a]
-        up, _ = textcore.powers(len(self.words))
-        self.prefix = np.zeros(len(self.words) + 1, np.uint64)
-        np.cumsum(self.words * up[: len(self.words)], out=self.prefix[1:])
-
-    def raw(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        _, down = textcore.powers(len(self.words))
-        return (self.prefix[b] - self.prefix[a]) * down[a]
+        self.sums = textcore.Sums(words, np.arange(len(words)) - np.repeat(self.a, self.b - self.a))
 
     def hashes(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return textcore.mix(self.raw(a, b) + (b - a).astype(np.uint64))
+        return self.sums.packed(self.sums.raw(a, b), b - a)
 
-    def halves(self, longer: int) -> tuple[np.ndarray, np.ndarray]:
+    def halves(self, pick: np.ndarray, longer: int) -> np.ndarray:
         """Keys of the left and right halves, as of a line ``longer`` words longer."""
-        size = self.b - self.a + longer
+        a, b = self.a[pick], self.b[pick]
+        size = b - a + longer
         left, right = size // 2, size - size // 2
         tag = size.astype(np.uint64) * _PLACE
-        return textcore.mix(self.hashes(self.a, self.a + left) + tag), textcore.mix(self.hashes(self.b - right, self.b) + tag + np.uint64(1))
+        return np.stack([textcore.mix(self.hashes(a, a + left) + tag), textcore.mix(self.hashes(b - right, b) + tag + np.uint64(1))], 1)
 
-    def variants(self, pick: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def variants(self, pick: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
         """Of the picked lines: line, key, kind (0 gap with place, 1 gap, 2 whole)."""
+        size = (self.b - self.a)[pick]
+        for part in np.array_split(pick, -(-len(pick) // VARIANT_WORDS) or 1):
+            yield part, self.hashes(self.a[part], self.b[part]), 2
+        # shorter ones are only met by what a longer line is without a word
+        pick = pick[size >= WORDS_PER_EDIT]
         n = (self.b - self.a)[pick]
-        row = np.repeat(pick, n)
-        j = np.arange(n.sum()) - np.repeat(np.append(0, np.cumsum(n))[:-1], n)
-        a, b = self.a[row], self.b[row]
-        up, _ = textcore.powers(len(self.words))
-        gap = textcore.mix(self.raw(a, a + j) + self.raw(a + j + 1, b) * up[j] + (b - a - 1).astype(np.uint64))
-        placed = textcore.mix(gap + (j.astype(np.uint64) + np.uint64(1)) * _PLACE)
-        whole = self.hashes(self.a[pick], self.b[pick])
-        kind = np.repeat(np.array([0, 1, 2], np.int8), [len(row), len(row), len(pick)])
-        return np.concatenate([row, row, pick]), np.concatenate([placed, gap, whole]), kind
+        before = np.append(0, np.cumsum(n))
+        for lo in range(0, int(before[-1]), VARIANT_WORDS):
+            at = np.arange(lo, min(lo + VARIANT_WORDS, int(before[-1])))
+            k = np.searchsorted(before, at, "right") - 1
+            row, j = pick[k], at - before[k]
+            a, b = self.a[row], self.b[row]
+            gap = self.sums.packed(self.sums.then(self.sums.raw(a, a + j), self.sums.raw(a + j + 1, b), j), b - a - 1)
+            yield row, textcore.mix(gap + (j.astype(np.uint64) + np.uint64(1)) * _PLACE), 0
+            yield row, gap, 1
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -101,20 +107,22 @@ def _list_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         ids, rids = b.column(0).to_numpy(), b.column(1).to_numpy()
         for lo, hi, x in _chunks(b, 2):
-            n = x.b - x.a
-            near = n >= NEAR_WORDS
-            keys = _half_keys(x, near)
             yield pa.RecordBatch.from_arrays(
-                [_signed(x.hashes(x.a, x.b)), pa.array(ids[lo:hi][x.doc]), pa.array(rids[lo:hi][x.doc]), pa.array(x.line.astype(np.int32)), keys], ["cls", "id", "rid", "line", "halves"]
+                [_signed(x.hashes(x.a, x.b)), pa.array(ids[lo:hi][x.doc]), pa.array(rids[lo:hi][x.doc]), pa.array(x.line.astype(np.int32)), _half_keys(x)], ["cls", "id", "rid", "line", "halves"]
             )
 
 
-def _half_keys(x: Lines, near: np.ndarray) -> pa.Array:
-    """Four keys of each line that may have near copies, none of the others."""
-    some = object.__new__(Lines)
-    some.words, some.prefix, some.a, some.b = x.words, x.prefix, x.a[near], x.b[near]
-    keys = np.stack([*some.halves(0), *some.halves(1)], 1).ravel()
-    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(near * 4)).astype(np.int32)), _signed(keys))
+def _half_keys(x: Lines) -> pa.Array:
+    """The keys of each line that may have near copies: as of its own length, and of
+    one word more."""
+    size = x.b - x.a
+    count = np.where(size >= WORDS_PER_EDIT, 4, np.where(size >= WORDS_PER_EDIT - 1, 2, 0))
+    off = np.append(0, np.cumsum(count))
+    keys = np.zeros(off[-1], np.uint64)
+    long, some = np.flatnonzero(count == 4), np.flatnonzero(count)
+    keys[off[1:][some, None] + np.array([-2, -1])] = x.halves(some, 1)
+    keys[off[long, None] + np.array([0, 1])] = x.halves(long, 0)
+    return pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), _signed(keys))
 
 
 def _emit_variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,11 +131,10 @@ def _emit_variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for lo, hi, x in _chunks(b, 2):
             want = [np.array(wanted[k].as_py(), np.int64) + ((k - lo) << 32) for k in range(lo, hi)]
             pick = np.flatnonzero(np.isin((x.doc.astype(np.int64) << 32) + x.line, np.concatenate(want)))
-            for part in np.array_split(pick, -(-len(pick) // 4000) or 1):
-                if len(part):
-                    row, key, kind = x.variants(part)
+            for row, key, kind in x.variants(pick):
+                if len(row):
                     yield pa.RecordBatch.from_arrays(
-                        [_signed(key), pa.array(ids[lo:hi][x.doc[row]]), pa.array(rids[lo:hi][x.doc[row]]), pa.array(x.line[row].astype(np.int32)), pa.array(kind)], ["key", "id", "rid", "line", "kind"]
+                        [_signed(key), pa.array(ids[lo:hi][x.doc[row]]), pa.array(rids[lo:hi][x.doc[row]]), pa.array(x.line[row].astype(np.int32)), pa.array(np.full(len(row), kind, np.int8))], ["key", "id", "rid", "line", "kind"]
                     )
 
 
@@ -159,6 +166,11 @@ def _earlier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i % 3 == 2 else pa.int64()) for i, c in enumerate(zip(*out))], ["id", "rid", "line", "id0", "rid0", "line0"])
 
 
+def within_bound(x: list[str], y: list[str]) -> bool:
+    """Whether word lists are equal, or one edited word apart and long enough for it."""
+    return x == y or (max(len(x), len(y)) >= WORDS_PER_EDIT and within_one_word(x, y))
+
+
 def within_one_word(x: list[str], y: list[str]) -> bool:
     """Whether word lists are equal or one insertion, deletion or replacement apart."""
     if len(x) > len(y):
@@ -189,14 +201,14 @@ def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        ok = [within_one_word(split_words(x), split_words(y)) for x, y in zip(b.column(3).to_pylist(), b.column(4).to_pylist())]
+        ok = [within_bound(split_words(x), split_words(y)) for x, y in zip(b.column(3).to_pylist(), b.column(4).to_pylist())]
         yield b.select([0, 1, 2]).filter(pa.array(ok, pa.bool_()))
 
 
 def _with_lines(source: DataFrame, places: DataFrame) -> DataFrame:
     """The texts that hold the given places, with their line numbers."""
     lists = common.written(places.groupBy("id", "rid").agg(F.collect_set("line").alias("lines")).select(F.col("id").alias("i"), F.col("rid").alias("r"), "lines"), "line-lists")
-    return source.join(common.small(lists, 400_000), (F.col("id") == F.col("i")) & (F.col("rid") == F.col("r"))).select("id", "rid", "text", "lines")
+    return source.join(common.small(lists), (F.col("id") == F.col("i")) & (F.col("rid") == F.col("r"))).select("id", "rid", "text", "lines")
 
 
 def removed_lines(source: DataFrame) -> DataFrame:
@@ -225,14 +237,17 @@ def removed_lines(source: DataFrame) -> DataFrame:
     return common.written(lost.groupBy("id", "rid").agg(F.collect_set("line").alias("lost")).select(F.col("id").alias("i"), F.col("rid").alias("r"), "lost"), "line-lost")
 
 
+def _has_word(c: Column) -> Column:
+    return c.rlike(r"[^\x20\x09-\x0D]")
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
-        for t, lost in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+        for t, lost, again in zip(*(b.column(k).to_pylist() for k in (1, 2, 3))):
             parts = t.split("\n")
-            drop = set(lost or ())
-            kept = [p for i, p in enumerate(parts) if i not in drop] if drop else parts
-            out = "\n".join(kept)
+            drop = {i for i, p in enumerate(parts) if split_words(p)} if again else set(lost or ())
+            out = "\n".join(p for i, p in enumerate(parts) if i not in drop) if drop else t
             rows.append((out, len(parts), len(drop), hashlib.sha256(out.encode()).hexdigest()))
         kinds = (pa.string(), pa.int64(), pa.int64(), pa.string())
         yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 4, kinds))], ["id", "kept", "n_lines", "n_removed", "kept_sha256"])
@@ -240,23 +255,48 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _keyed(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
     text = F.coalesce(df[text_col], F.lit(""))
-    return df.select(F.coalesce(df[id_col], F.lit(NULL_ID)).cast("long").alias("id"), F.xxhash64(text).alias("rid"), text.alias("text"))
+    row = F.struct(*(df[c] for c in df.columns))
+    return df.select(F.coalesce(df[id_col], F.lit(NULL_ID)).cast("long").alias("id"), F.xxhash64(text).alias("rid"), text.alias("text"), row.alias("row"))
+
+
+def _with_copies(source: DataFrame) -> DataFrame:
+    """Adds ``again``: whether a row equal in id and text comes before.
+
+    Such rows are counted first, and only they are numbered: within the task that
+    reads them, so that no window holds more than a task's rows."""
+    counted = source.groupBy("id", "rid").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    copies = common.written(counted.select(F.col("id").alias("i"), F.col("rid").alias("r")), "line-copies")
+    if copies.isEmpty():
+        return source.withColumn("again", F.lit(False))
+    same = (F.col("id") == F.col("i")) & (F.col("rid") == F.col("r"))
+    at = source.withColumn("task", F.spark_partition_id())
+    alone = at.join(common.small(copies), same, "left_anti").withColumn("again", F.lit(False))
+    several = at.join(common.small(copies), same, "left_semi")
+    least = several.groupBy(F.col("id").alias("i"), F.col("rid").alias("r")).agg(F.min("task").alias("first"))
+    nth = F.row_number().over(Window.partitionBy("id", "rid", "task").orderBy("task"))
+    numbered = several.withColumn("nth", nth).join(least, same).withColumn("again", (F.col("task") != F.col("first")) | (F.col("nth") > 1))
+    return alone.unionByName(numbered.select(*alone.columns))
+
+
+def _with_fate(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """``id, text, row, again`` and the numbers of the lines that go as ``lost``."""
+    source = _keyed(df, text_col, id_col)
+    lost = common.small(removed_lines(source.drop("row")))
+    return _with_copies(source).join(lost, (F.col("id") == F.col("i")) & (F.col("rid") == F.col("r")), "left")
 
 
 def dedup_lines(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Per row: id, ``kept`` (the text without removed lines), ``n_lines``,
     ``n_removed``, ``kept_sha256``."""
-    source = _keyed(df, text_col, id_col)
-    lost = common.small(removed_lines(source), 400_000)
-    out = source.join(lost, (F.col("id") == F.col("i")) & (F.col("rid") == F.col("r")), "left").select("id", "text", "lost").mapInArrow(_cut, "id long, kept string, n_lines long, n_removed long, kept_sha256 string")
+    out = _with_fate(df.select(id_col, text_col), text_col, id_col).select("id", "text", "lost", "again").mapInArrow(_cut, "id long, kept string, n_lines long, n_removed long, kept_sha256 string")
     return out.withColumn("id", F.when(F.col("id") != NULL_ID, F.col("id"))).withColumnRenamed("id", id_col)
 
 
 def drop_lines(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The table with removed lines cut out of its texts and all other columns as
     they are.  A null text stays null."""
-    lost = common.small(removed_lines(_keyed(df, text_col, id_col)), 400_000)
-    text = F.coalesce(df[text_col], F.lit(""))
-    key = (F.coalesce(df[id_col], F.lit(NULL_ID)) == lost["i"]) & (F.xxhash64(text) == lost["r"])
-    kept = F.array_join(F.filter(F.split(df[text_col], "\n"), lambda x, i: ~F.array_contains(lost["lost"], i)), "\n")
-    return df.join(lost, key, "left").select(*(F.when(lost["lost"].isNull(), df[c]).otherwise(kept).alias(c) if c == text_col else df[c] for c in df.columns))
+    stays = lambda x, i: F.when(F.col("again"), ~_has_word(x)).otherwise(~F.array_contains("lost", i))
+    kept = F.array_join(F.filter(F.split("text", "\n"), stays), "\n")
+    old = F.col("row")[text_col]
+    text = F.when(old.isNotNull() & (F.col("again") | F.col("lost").isNotNull()), kept).otherwise(old)
+    return _with_fate(df, text_col, id_col).select(*((text if c == text_col else F.col("row")[c]).alias(c) for c in df.columns))

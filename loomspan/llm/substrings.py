@@ -8,22 +8,26 @@ with a smaller id; strings are judged on the input and never cross documents.
 2. *Anchors.*  Each 50-byte string is assigned the smallest hash among its 16-byte
    strings.  Equal strings have equal anchors, so a string whose anchor occurs in
    one document only is kept.  Neighbouring strings with one anchor form a run.
-   Anchors are counted from compact blocks, not from rows, and a task reads each
-   anchor at most once per document.
+   Anchors are counted from compact blocks, not from rows; an anchor that several
+   documents of a block have is sent on once, so that one that all documents have
+   gathers no more than a row per block.
 3. *Shards.*  Runs whose anchor occurs in several documents are dealt to shards by
    anchor, so equal strings meet.  Equal runs are first folded, in the task that
    reads them and again in the shard; each shard's different runs are concatenated
    and suffix-sorted by induced sorting, permuted common prefixes of 50 bytes mark
    equal strings, and the smallest document id of each such class keeps it.
-   Anchors with more different runs than a shard may hold go another way: their
-   strings are hashed and grouped by Spark, with partial aggregation.
+   Anchors with more runs, or more of their bytes, than a shard may hold go another
+   way: their strings are hashed and grouped by Spark, with partial aggregation.
 4. *Removal.*  Removed ranges are united per document and cut out of its bytes.
 
-Hashes are 64 bits wide; equality of runs and strings is equality of hashes.
+Texts are looked at in pieces that overlap by 49 bytes, so a text's length bounds no
+memory but that of its own bytes.  Documents are known by id and the first eight
+bytes of their SHA-256.  Equality of runs (and of crowded anchors' strings) is
+equality of 64-bit hashes; suffix sorting compares bytes.
 
 Defined results: null and empty texts have no bytes and nothing removed; a null
-id counts as larger than every other; rows that share an id never remove each
-other's strings; other columns are ignored; an empty table gives an empty result.
+id counts as larger than every other; rows that share an id are documents of their
+own that never remove each other's strings; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -44,9 +48,14 @@ GRAM = 16
 #: Documents per block of anchors, and bytes of runs that a shard should hold.
 DOCS_PER_PART = 4000
 SHARD_BYTES = 2 << 20
-#: Different runs of one anchor beyond which its strings are grouped by Spark.
+#: Runs of one anchor, and their bytes, beyond which its strings are grouped by Spark.
 MAX_RUNS = 20_000
+MAX_RUN_BYTES = 8 << 20
+#: Documents of a block of anchors, and its (document, anchor) pairs.
+BLOCK_DOCS = 60_000
+BLOCK_PAIRS = 1_000_000
 NULL_ID = (1 << 63) - 1
+_NO_DOC = np.uint32(0xFFFFFFFF)
 
 
 def _sliding_min(h: np.ndarray, width: int) -> np.ndarray:
@@ -68,9 +77,9 @@ def anchor_runs(data: np.ndarray, off: np.ndarray, length: int = LENGTH) -> tupl
     if len(data) < length:
         z = np.zeros(0, np.int64)
         return z, z, z, np.zeros(0, np.uint64)
-    prefix = textcore.rolling(data)
-    at = np.arange(len(data) - GRAM + 1)
-    anchors = _sliding_min(textcore.span_hash(prefix, at, at + GRAM), length - GRAM + 1)
+    word, n = textcore.octets(data), len(data) - GRAM + 1
+    grams = textcore.mix(word[:n] ^ textcore.mix(word[8 : n + 8]))
+    anchors = _sliding_min(grams, length - GRAM + 1)
     ok = np.zeros(len(data) + 1, np.int8)
     wide = off[1:] - off[:-1] >= length
     np.add.at(ok, off[:-1][wide], 1)
@@ -98,122 +107,156 @@ def _union(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return lo[new], hi[np.append(np.flatnonzero(new)[1:] - 1, len(lo) - 1)]
 
 
+def _mark(anchor: np.ndarray, parts: int) -> np.ndarray:
+    """What is remembered of an anchor: its part and 32 bits more."""
+    return (anchor // np.uint64(parts) << np.uint64(32)) | anchor % np.uint64(parts)
+
+
+def _blocks(mark: np.ndarray, doc: np.ndarray, docs: np.ndarray) -> Iterator[tuple]:
+    """Rows of (part, docs, places, marks) of one block: those of anchors that only one
+    of its documents has and one without a document for each other anchor, by part; and
+    with a negative part, the documents of those others."""
+    order = np.lexsort((doc, mark))
+    mark, doc = mark[order], doc[order]
+    new = np.append(True, (mark[1:] != mark[:-1]) | (doc[1:] != doc[:-1]))
+    mark, doc = mark[new], doc[new]
+    same = mark[1:] == mark[:-1]
+    several = np.append(False, same) | np.append(same, False)
+    if several.any():
+        used, local = np.unique(doc[several], return_inverse=True)
+        yield -1 - int(mark[several][0] % np.uint64(1 << 16)), docs[used], local, mark[several]
+    first = np.append(True, ~same)
+    mark, place = mark[first], np.where(several, -1, doc)[first]
+    part = (mark & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    part, mark, place = part[order], mark[order], place[order]
+    cuts = np.append(np.append(0, np.flatnonzero(np.diff(part)) + 1), len(part))
+    for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        known = place[a:z] >= 0
+        used, local = np.unique(place[a:z][known], return_inverse=True)
+        out = np.full(z - a, _NO_DOC)
+        out[known] = local
+        yield int(part[a]), docs[used], out, mark[a:z] >> np.uint64(32)
+
+
 def _count_anchors(parts: int):
-    """Blocks of (part, doc ids, anchors): distinct anchors per document."""
-
-    def flush(ids: list, docs: list, anchors: list) -> Iterator[pa.RecordBatch]:
-        if not ids:
-            return
-        doc, anchor = np.concatenate(docs), np.concatenate(anchors)
-        part = (anchor % np.uint64(parts)).astype(np.int64)
-        order = np.lexsort((anchor, part))
-        part, anchor, doc = part[order], anchor[order], doc[order]
-        cuts = np.flatnonzero(np.diff(part)) + 1
-        starts = np.append(0, cuts) if len(part) else np.zeros(0, np.int64)
-        table = np.array(ids, np.int64)
-        rows = []
-        for a, b in zip(starts, np.append(cuts, len(part))):
-            used, local = np.unique(doc[a:b], return_inverse=True)
-            low = (anchor[a:b] // np.uint64(parts)).astype(np.uint32)
-            rows.append((int(part[a]), table[used].tobytes(), local.astype(np.uint16).tobytes(), low.tobytes()))
-        if rows:
-            p, i, d, h = zip(*rows)
-            yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), pa.array(i, pa.binary()), pa.array(d, pa.binary()), pa.array(h, pa.binary())], ["part", "ids", "docs", "low"])
+    """Blocks of anchors: ``part``, documents (id and key), for each anchor the place of
+    its document, and marks (the upper half, where the part is not negative)."""
+
+    def batch(marks: list, docs: list, table: list) -> Iterator[pa.RecordBatch]:
+        if marks:
+            rows = _blocks(np.concatenate(marks), np.concatenate(docs), np.concatenate(table))
+            p, d, at, m = zip(*((p, d.tobytes(), at.astype(np.uint32).tobytes(), (m if p < 0 else m.astype(np.uint32)).tobytes()) for p, d, at, m in rows))
+            yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), *(pa.array(x, pa.binary()) for x in (d, at, m))], ["part", "docs", "places", "marks"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, docs, anchors, n = [], [], [], 0
+        marks, docs, table, n, n_docs = [], [], [], 0, 0
         for b in batches:
-            data, off = textcore.utf8(b.column(1))
-            keys = b.column(0).to_numpy(zero_copy_only=False)
-            for lo, hi in textcore.chunks(off):
-                doc, _, _, anchor = anchor_runs(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
+            data, off = textcore.utf8(b.column(2))
+            names = np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()], 1)
+            for lo, hi, a, z in textcore.pieces(off, LENGTH - 1):
+                doc, _, _, anchor = anchor_runs(data[a:z], np.clip(off[lo : hi + 1], a, z) - a)
                 if len(doc):
-                    order = np.lexsort((anchor, doc))
-                    doc, anchor = doc[order], anchor[order]
-                    new = np.append(True, (doc[1:] != doc[:-1]) | (anchor[1:] != anchor[:-1]))
-                    docs.append(doc[new] + len(ids))
-                    anchors.append(anchor[new])
-                    n += int(new.sum())
-                ids.extend(keys[lo:hi].tolist())
-                if n > 1_000_000 or len(ids) > 60_000:
-                    yield from flush(ids, docs, anchors)
-                    ids, docs, anchors, n = [], [], [], 0
-        yield from flush(ids, docs, anchors)
+                    marks.append(_mark(anchor, parts))
+                    docs.append(doc + n_docs)
+                    n += len(doc)
+                table.append(names[lo:hi])
+                n_docs += hi - lo
+                if n > BLOCK_PAIRS or n_docs > BLOCK_DOCS:
+                    yield from batch(marks, docs, table)
+                    marks, docs, table, n, n_docs = [], [], [], 0, 0
+        yield from batch(marks, docs, table)
 
     return run
 
 
+def _by_doc(docs: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """The different documents (id and key), and the marks of each."""
+    order = np.lexsort((docs[:, 1], docs[:, 0]))
+    docs, mark = docs[order], mark[order]
+    cuts = np.flatnonzero(np.append(True, (docs[1:] != docs[:-1]).any(1))) if len(docs) else np.zeros(0, np.int64)
+    return docs[cuts], [mark[a:z].tobytes() for a, z in zip(cuts, np.append(cuts[1:], len(docs)))]
+
+
 def _shared_anchors(table: pa.Table) -> pa.Table:
-    """Of one part: per document, the low words of anchors that other documents have too."""
+    """Of one part: per document, the marks of anchors that other documents have too."""
     part = table.column("part")[0].as_py()
-    ids, lows = [], []
-    for i, d, h in zip(*(table.column(c).to_pylist() for c in ("ids", "docs", "low"))):
-        ids.append(np.frombuffer(i, np.int64)[np.frombuffer(d, np.uint16)])
-        lows.append(np.frombuffer(h, np.uint32))
-    doc, low = np.concatenate(ids), np.concatenate(lows)
-    order = np.argsort(low, kind="stable")
-    doc, low = doc[order], low[order]
-    same = low[1:] == low[:-1]
-    shared = np.append(False, same) | np.append(same, False)
-    doc, low = doc[shared], low[shared]
-    order = np.argsort(doc, kind="stable")
-    doc, low = doc[order], low[order]
-    cuts = np.append(0, np.flatnonzero(np.diff(doc)) + 1) if len(doc) else np.zeros(0, np.int64)
-    ends = np.append(cuts[1:], len(doc))
-    return pa.table({"id": pa.array(doc[cuts], pa.int64()), "part": pa.array([part] * len(cuts), pa.int32()), "low": pa.array([low[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary())})
+    found_docs, found_marks = [], []
+    docs, marks = [np.zeros((0, 2), np.int64)], [np.zeros(0, np.uint64)]
+    none = np.array([[0, 0]], np.int64)
+    known = []
+    for d, at, m in zip(*(table.column(c).to_pylist() for c in ("docs", "places", "marks"))):
+        names, place = np.frombuffer(d, np.int64).reshape(-1, 2), np.frombuffer(at, np.uint32)
+        if part < 0:
+            # what its block knew to be shared; one block at a time
+            keys, blobs = _by_doc(names[place], np.frombuffer(m, np.uint64))
+            found_docs.append(keys)
+            found_marks += blobs
+            continue
+        docs.append(np.concatenate([names, none])[np.minimum(place, len(names))])
+        known.append(place != _NO_DOC)
+        marks.append((np.frombuffer(m, np.uint32).astype(np.uint64) << np.uint64(32)) | np.uint64(part))
+    if known:
+        doc, mark, has = np.concatenate(docs), np.concatenate(marks), np.concatenate(known)
+        order = np.argsort(mark, kind="stable")
+        doc, mark, has = doc[order], mark[order], has[order]
+        same = mark[1:] == mark[:-1]
+        shared = (np.append(False, same) | np.append(same, False)) & has
+        keys, blobs = _by_doc(doc[shared], mark[shared])
+        found_docs.append(keys)
+        found_marks += blobs
+    out = np.concatenate(found_docs) if found_docs else np.zeros((0, 2), np.int64)
+    return pa.table({"id": pa.array(out[:, 0], pa.int64()), "key": pa.array(out[:, 1], pa.int64()), "marks": pa.array(found_marks, pa.binary())})
 
 
 def _runs(parts: int):
     """Runs with a shared anchor as rows; those equal to one of a smaller document
-    in the same batch leave at once, as removed ranges (with a null anchor)."""
+    in the same chunk leave at once, as removed ranges (with a null anchor)."""
+
+    def of(texts: list[bytes], names: np.ndarray, listed: list) -> Iterator[pa.RecordBatch]:
+        data, off = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+        for lo, hi, a, z in textcore.pieces(off, LENGTH - 1):
+            seg = data[a:z]
+            starts = np.clip(off[lo : hi + 1], a, z) - a
+            doc, first, last, anchor = anchor_runs(seg, starts)
+            # which of the runs' anchors are listed for their document
+            tag = lambda d: textcore.mix(d.astype(np.uint64) + np.uint64(1))
+            wanted = np.concatenate([np.frombuffer(b"".join(listed[k]), np.uint64) ^ tag(np.array([k - lo])) for k in range(lo, hi)])
+            hit = np.isin(_mark(anchor, parts) ^ tag(doc), wanted)
+            doc, first, last, anchor = doc[hit], first[hit], last[hit], anchor[hit]
+            if not len(doc):
+                continue
+            content = textcore.hash_spans(seg, first, last + LENGTH)
+            ids, keys = names[lo:hi][doc].T
+            order = np.lexsort((ids, content, anchor))
+            same = np.append(False, (anchor[order][1:] == anchor[order][:-1]) & (content[order][1:] == content[order][:-1]))
+            lead = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+            copies = order[same]
+            gone = ids[copies] > ids[lead[same]]
+            begin = off[lo:hi][doc] - a
+            yield _run_batch(anchor, content, ids, keys, first - begin, last - begin + LENGTH, copies[gone], None, None)
+            keep = np.sort(np.concatenate([order[~same], copies[~gone]]))
+            yield _run_batch(anchor, content, ids, keys, first - begin, last - begin + LENGTH, keep, seg, first)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
         for b in batches:
-            texts = [unpack(x.as_py()) for x in b.column(1)]
-            data = np.frombuffer(b"".join(texts), np.uint8)
-            off = np.cumsum([0, *map(len, texts)])
-            del texts
-            keys = b.column(0).to_numpy(zero_copy_only=False)
-            for lo, hi in textcore.chunks(off):
-                base = off[lo]
-                seg = data[base : off[hi]]
-                doc, first, last, anchor = anchor_runs(seg, off[lo : hi + 1] - base)
-                part, low = (anchor % np.uint64(parts)).astype(np.int64), (anchor // np.uint64(parts)).astype(np.uint32)
-                # which of the runs' anchors are listed for their document
-                key = textcore.mix((doc.astype(np.uint64) << np.uint64(32)) + low.astype(np.uint64)) + part.astype(np.uint64)
-                listed = []
-                for k in range(lo, hi):
-                    ps, ls = b.column(2)[k].as_py(), b.column(3)[k].as_py()
-                    if ps:
-                        ws = np.frombuffer(b"".join(ls), np.uint32).astype(np.uint64)
-                        pn = np.repeat(np.array(ps, np.uint64), [len(x) // 4 for x in ls])
-                        listed.append(textcore.mix((np.uint64(k - lo) << np.uint64(32)) + ws) + pn)
-                if not listed:
-                    continue
-                hit = np.isin(key, np.concatenate(listed))
-                doc, first, last, anchor = doc[hit], first[hit], last[hit], anchor[hit]
-                if not len(doc):
-                    continue
-                content = textcore.span_hash(textcore.rolling(seg), first, last + LENGTH)
-                ids = keys[lo:hi][doc]
-                order = np.lexsort((ids, content, anchor))
-                same = np.append(False, (anchor[order][1:] == anchor[order][:-1]) & (content[order][1:] == content[order][:-1]))
-                lead = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
-                copies = order[same]
-                gone = ids[copies] > ids[lead[same]]
-                starts = off[lo:hi][doc] - base
-                yield _run_batch(anchor, content, ids, first - starts, last - starts + LENGTH, copies[gone], None, None)
-                keep = np.sort(np.concatenate([order[~same], copies[~gone]]))
-                yield _run_batch(anchor, content, ids, first - starts, last - starts + LENGTH, keep, seg, first)
+            names = np.stack([b.column(0).to_numpy(), b.column(1).to_numpy()], 1)
+            texts, lo, size = [], 0, 0
+            for i in range(b.num_rows):
+                texts.append(unpack(b.column(2)[i].as_py()))
+                size += len(texts[-1])
+                if size > textcore.CHUNK_BYTES or i == b.num_rows - 1:
+                    yield from of(texts, names[lo : i + 1], [b.column(3)[k].as_py() for k in range(lo, i + 1)])
+                    texts, lo, size = [], i + 1, 0
 
     return run
 
 
-RUN_SCHEMA = "anchor long, content long, id long, from int, to int, bytes binary"
+RUN_SCHEMA = "anchor long, content long, id long, key long, from int, to int, bytes binary"
 
 
-def _run_batch(anchor, content, ids, lo, hi, pick, seg, first) -> pa.RecordBatch:
+def _run_batch(anchor, content, ids, keys, lo, hi, pick, seg, first) -> pa.RecordBatch:
     n = len(pick)
     if seg is None:
         a, blob = pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())
@@ -224,27 +267,27 @@ def _run_batch(anchor, content, ids, lo, hi, pick, seg, first) -> pa.RecordBatch
         where = np.repeat(first[pick] - off[:-1], size) + np.arange(off[-1])
         blob = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(off.astype(np.int32).tobytes()), pa.py_buffer(seg[where].tobytes())])
     return pa.RecordBatch.from_arrays(
-        [a, pa.array(content[pick].view(np.int64), pa.int64()), pa.array(ids[pick], pa.int64()), pa.array(lo[pick], pa.int32()), pa.array(hi[pick], pa.int32()), blob],
-        ["anchor", "content", "id", "from", "to", "bytes"],
+        [a, pa.array(content[pick].view(np.int64), pa.int64()), pa.array(ids[pick], pa.int64()), pa.array(keys[pick], pa.int64()), pa.array(lo[pick], pa.int32()), pa.array(hi[pick], pa.int32()), blob],
+        ["anchor", "content", "id", "key", "from", "to", "bytes"],
     )
 
 
-RANGE_SCHEMA = "id long, from int, to int"
+RANGE_SCHEMA = "id long, key long, from int, to int"
 
 
-def _ranges(ids: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.Table:
-    return pa.table({"id": pa.array(ids, pa.int64()), "from": pa.array(lo, pa.int32()), "to": pa.array(hi, pa.int32())})
+def _ranges(ids: np.ndarray, keys: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> pa.Table:
+    return pa.table({"id": pa.array(ids, pa.int64()), "key": pa.array(keys, pa.int64()), "from": pa.array(lo, pa.int32()), "to": pa.array(hi, pa.int32())})
 
 
 def _shard(table: pa.Table) -> pa.Table:
     """Removed ranges of one shard."""
-    anchor, content, ids, lo, hi = (table.column(c).to_numpy() for c in ("anchor", "content", "id", "from", "to"))
+    anchor, content, ids, keys, lo, hi = (table.column(c).to_numpy() for c in ("anchor", "content", "id", "key", "from", "to"))
     order = np.lexsort((ids, content, anchor))
-    anchor, content, ids, lo, hi = anchor[order], content[order], ids[order], lo[order], hi[order]
+    anchor, content, ids, keys, lo, hi = (x[order] for x in (anchor, content, ids, keys, lo, hi))
     head = np.append(True, (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1]))
     lead = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
     gone = ids > ids[lead]
-    out = [(ids[gone], lo[gone], hi[gone])]
+    out = [(ids[gone], keys[gone], lo[gone], hi[gone])]
     # one of each content goes on, with the smallest id; the same document may hold it twice
     left = np.flatnonzero(~gone)
     first = np.flatnonzero(head)
@@ -264,7 +307,7 @@ def _shard(table: pa.Table) -> pa.Table:
         inside = np.arange(start[-1]) - start[:-1][owner] <= (size - LENGTH)[owner]
         sa = suffixes.suffix_array(text, LENGTH)
         sa = sa[inside[sa]]
-        equal = suffixes.common_prefix_at_least(text, sa, LENGTH)[sa]
+        equal = suffixes.permuted_common_prefixes(text, sa, LENGTH)[sa] >= LENGTH
         cls = np.cumsum(~equal) - 1
         doc = ids[use][owner[sa]]
         least = np.minimum.reduceat(doc, np.flatnonzero(~equal))
@@ -285,28 +328,31 @@ def _shard(table: pa.Table) -> pa.Table:
             count = (by_run[1:] - by_run[:-1])[owner_run]
             rep = np.repeat(np.arange(len(rows)), count)
             pos = np.repeat(by_run[owner_run] - np.append(0, np.cumsum(count))[:-1], count) + np.arange(count.sum())
-            out.append((ids[rows][rep], lo[rows][rep] + rel_lo[pos], lo[rows][rep] + rel_hi[pos]))
+            out.append((ids[rows][rep], keys[rows][rep], lo[rows][rep] + rel_lo[pos], lo[rows][rep] + rel_hi[pos]))
     return _ranges(*(np.concatenate(x) for x in zip(*out)))
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of crowded anchors as one row per 50-byte string."""
     for b in batches:
-        data, off = textcore.utf8(b.column(3))
-        ids, lo = b.column(1).to_numpy(), b.column(2).to_numpy()
-        count = off[1:] - off[:-1] - LENGTH + 1
-        row = np.repeat(np.arange(len(ids)), count)
-        at = np.arange(count.sum()) - np.repeat(np.append(0, np.cumsum(count))[:-1], count)
-        h = textcore.span_hash(textcore.rolling(data), off[:-1][row] + at, off[:-1][row] + at + LENGTH)
-        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[row]), pa.array((lo[row] + at).astype(np.int32))], ["h", "id", "at"])
+        data, off = textcore.utf8(b.column(4))
+        ids, keys, base = (b.column(i).to_numpy() for i in range(1, 4))
+        for lo, hi, a, z in textcore.pieces(off, LENGTH - 1, 1 << 18):
+            begin = np.clip(off[lo : hi + 1], a, z)
+            count = begin[1:] - begin[:-1] - LENGTH + 1
+            row = np.repeat(np.arange(hi - lo), count)
+            at = begin[:-1][row] + np.arange(count.sum()) - np.repeat(np.append(0, np.cumsum(count))[:-1], count)
+            h = textcore.hash_spans(data[a:z], at - a, at - a + LENGTH)
+            place = base[lo:hi][row] + at - off[lo:hi][row]
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[lo:hi][row]), pa.array(keys[lo:hi][row]), pa.array(place.astype(np.int32))], ["h", "id", "key", "at"])
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=1).compress
     for b in batches:
-        data, off = textcore.utf8(b.column(1))
+        data, off = textcore.utf8(b.column(2))
         raw = memoryview(np.ascontiguousarray(data))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([pack(raw[off[i] : off[i + 1]]) for i in range(len(off) - 1)], pa.binary())], ["id", "packed"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([pack(raw[off[i] : off[i + 1]]) for i in range(len(off) - 1)], pa.binary())], ["id", "key", "packed"])
 
 
 def _cut(with_text: bool):
@@ -338,52 +384,53 @@ def _cut(with_text: bool):
 
 
 def _merge_ranges(table: pa.Table) -> pa.Table:
-    ids, lo, hi = (table.column(c).to_numpy() for c in ("id", "from", "to"))
-    order = np.argsort(ids, kind="stable")
-    ids, lo, hi = ids[order], lo[order], hi[order]
-    cuts = np.flatnonzero(np.diff(ids)) + 1
-    keys, blobs = [], []
-    for a, z in zip(np.append(0, cuts), np.append(cuts, len(ids))):
-        u, v = _union(lo[a:z], hi[a:z])
-        keys.append(int(ids[a]))
-        blobs.append(np.stack([u, v], 1).astype(np.int32).tobytes())
-    return pa.table({"want": pa.array(keys, pa.int64()), "ranges": pa.array(blobs, pa.binary())})
+    ids, keys, lo, hi = (table.column(c).to_numpy() for c in ("id", "key", "from", "to"))
+    order = np.lexsort((keys, ids))
+    ids, keys, lo, hi = ids[order], keys[order], lo[order], hi[order]
+    cuts = np.append(0, np.flatnonzero((np.diff(ids) != 0) | (np.diff(keys) != 0)) + 1)
+    blobs = []
+    for a, z in zip(cuts, np.append(cuts[1:], len(ids))):
+        blobs.append(np.stack(_union(lo[a:z], hi[a:z]), 1).astype(np.int32).tobytes())
+    return pa.table({"i": pa.array(ids[cuts], pa.int64()), "k": pa.array(keys[cuts], pa.int64()), "ranges": pa.array(blobs, pa.binary())})
 
 
 def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", with_text: bool = False) -> DataFrame:
     """Per row: id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and, if
     asked for, the bytes that are left as ``kept``."""
-    spark = df.sparkSession
+    sha = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
     source = df.select(F.coalesce(df[id_col], F.lit(NULL_ID)).cast("long").alias("id"), F.coalesce(df[text_col], F.lit("")).alias("text"))
-    # rows of one id are told apart by their bytes
-    keys = source.select("id", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha"), F.octet_length("text").alias("size"))
-    firsts = common.written(keys.groupBy("sha").agg(F.min("id").alias("first"), F.max("size").alias("size")), "substring-firsts")
+    hashed = source.withColumn("sha", sha).withColumn("key", F.conv(F.hex(F.substring("sha", 1, 8)), 16, -10).cast("long"))
+    keys = hashed.select("id", "sha", F.octet_length("text").alias("size"))
+    firsts = common.written(keys.groupBy("sha").agg(F.min("id").alias("first"), F.max("size").alias("size"), F.count(F.lit(1)).alias("n")), "substring-firsts")
     n_docs = firsts.count()
     parts = max(16, -(-n_docs // DOCS_PER_PART))
     long_firsts = common.small(firsts.where(F.col("size") >= LENGTH).select(F.col("sha").alias("s"), "first"))
-    hashed = source.withColumn("sha", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
-    lead = hashed.join(long_firsts, (F.col("sha") == F.col("s")) & (F.col("id") == F.col("first")), "left_semi").select("id", "text")
-    shared = lead.mapInArrow(_count_anchors(parts), "part int, ids binary, docs binary, low binary").groupBy("part").applyInArrow(_shared_anchors, "id long, part int, low binary")
-    lists = common.written(shared.groupBy("id").agg(F.collect_list("part").alias("parts"), F.collect_list("low").alias("lows")).withColumnRenamed("id", "want"), "substring-lists")
-    packed = lead.mapInArrow(_pack, "id long, packed binary").join(lists, F.col("id") == F.col("want")).select("id", "packed", "parts", "lows")
+    lead = hashed.join(long_firsts, (F.col("sha") == F.col("s")) & (F.col("id") == F.col("first")), "left_semi").select("id", "key", "text")
+    shared = lead.mapInArrow(_count_anchors(parts), "part int, docs binary, places binary, marks binary").groupBy("part").applyInArrow(_shared_anchors, "id long, key long, marks binary")
+    lists = common.written(shared.groupBy("id", "key").agg(F.collect_list("marks").alias("marks")).select(F.col("id").alias("i"), F.col("key").alias("k"), "marks"), "substring-lists")
+    here = (F.col("id") == F.col("i")) & (F.col("key") == F.col("k"))
+    packed = lead.mapInArrow(_pack, "id long, key long, packed binary").join(lists, here).select("id", "key", "packed", "marks")
     runs = common.written(packed.mapInArrow(_runs(parts), RUN_SCHEMA), "substring-runs")
-    local = runs.where("anchor is null").select("id", "from", "to")
+    local = runs.where("anchor is null").select("id", "key", "from", "to")
     rest = runs.where("anchor is not null")
-    crowded = common.written(rest.groupBy("anchor").count().where(F.col("count") > MAX_RUNS).select(F.col("anchor").alias("a")), "substring-crowded")
+    size = F.coalesce(F.octet_length("bytes"), F.lit(0)).cast("long")
+    per = rest.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("size"))
+    crowded = common.written(per.where((F.col("n") > MAX_RUNS) | (F.col("size") > MAX_RUN_BYTES)).select(F.col("anchor").alias("a")), "substring-crowded")
     crowd = common.small(crowded)
-    total = rest.where(F.col("bytes").isNotNull()).agg(F.coalesce(F.sum(F.octet_length("bytes")), F.lit(0))).first()[0]
+    total = rest.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     shards = max(8, -(-total // SHARD_BYTES))
     sharded = rest.join(crowd, F.col("anchor") == F.col("a"), "left_anti").withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)).cast("int"))
     ranges = sharded.groupBy("shard").applyInArrow(_shard, RANGE_SCHEMA)
-    strings = rest.join(crowd, F.col("anchor") == F.col("a"), "left_semi").select("anchor", "id", "from", "bytes").mapInArrow(_strings, "h long, id long, at int")
+    strings = rest.join(crowd, F.col("anchor") == F.col("a"), "left_semi").select("anchor", "id", "key", "from", "bytes").mapInArrow(_strings, "h long, id long, key long, at int")
     least = strings.groupBy("h").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select(F.col("h").alias("g"), "least")
-    many = strings.join(least, (F.col("h") == F.col("g")) & (F.col("id") > F.col("least"))).select("id", F.col("at").alias("from"), (F.col("at") + LENGTH).cast("int").alias("to"))
+    many = strings.join(least, (F.col("h") == F.col("g")) & (F.col("id") > F.col("least"))).select("id", "key", F.col("at").alias("from"), (F.col("at") + LENGTH).cast("int").alias("to"))
     every = local.unionByName(ranges).unionByName(many)
-    bucketed = every.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(max(8, n_docs // DOCS_PER_PART))).cast("int"))
-    merged = common.written(bucketed.groupBy("bucket").applyInArrow(_merge_ranges, "want long, ranges binary"), "substring-ranges")
-    copies = firsts.select(F.col("sha").alias("s"), "first")
-    flagged = hashed.join(common.small(copies), F.col("sha") == F.col("s")).select("id", "text", (F.col("id") > F.col("first")).alias("copy"))
-    full = flagged.join(common.small(merged, 200_000), F.col("id") == F.col("want"), "left").select("id", "text", "copy", "ranges")
+    bucketed = every.withColumn("bucket", F.pmod(F.xxhash64("id", "key"), F.lit(max(8, n_docs // DOCS_PER_PART))).cast("int"))
+    merged = common.written(bucketed.groupBy("bucket").applyInArrow(_merge_ranges, "i long, k long, ranges binary"), "substring-ranges")
+    # only contents that several rows have can lose whole rows
+    copies = common.written(firsts.where("n > 1").select(F.col("sha").alias("s"), "first"), "substring-copies")
+    flagged = hashed.join(common.small(copies), F.col("sha") == F.col("s"), "left").select("id", "key", "text", F.coalesce(F.col("id") > F.col("first"), F.lit(False)).alias("copy"))
+    full = flagged.join(common.small(merged), here, "left").select("id", "text", "copy", "ranges")
     schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     out = full.mapInArrow(_cut(with_text), schema)
     return out.withColumn("id", F.when(F.col("id") != NULL_ID, F.col("id"))).withColumnRenamed("id", id_col)

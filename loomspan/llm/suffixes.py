@@ -105,9 +105,10 @@ def suffix_array(s: np.ndarray, depth: int) -> np.ndarray:
     by_substring = by_substring[is_lms[by_substring]]
     end = np.empty(n, np.int64)
     end[lms] = np.append(lms[1:] + 1, n)
-    hashes = textcore.span_hash(textcore.rolling(s), by_substring, end[by_substring])
+    size = np.minimum(end[by_substring] - by_substring, depth)
+    shared = textcore.common_prefixes(s, by_substring[:-1], by_substring[1:], depth)
     name = np.empty(n, np.int64)
-    name[by_substring] = np.cumsum(np.append(0, hashes[1:] != hashes[:-1]))
+    name[by_substring] = np.cumsum(np.append(0, (size[1:] != size[:-1]) | (shared < size[1:])))
     rank = name[lms]
     # names of 1, 2, 4, ... LMS substrings; each adds two bytes at least
     covered, m = 1, len(lms)
@@ -123,13 +124,11 @@ def suffix_array(s: np.ndarray, depth: int) -> np.ndarray:
     return induce(s, up, lms[np.argsort(rank, kind="stable")])
 
 
-def common_prefix_at_least(s: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
-    """Permuted common prefixes, as a test: at each text position in ``order`` (a
-    suffix array or a part of one in its order, each with ``length`` bytes left),
-    whether it shares ``length`` bytes with the suffix before it in the order.
-    Positions outside ``order`` are False."""
-    out = np.zeros(len(s), bool)
+def permuted_common_prefixes(s: np.ndarray, order: np.ndarray, most: int) -> np.ndarray:
+    """At each text position in ``order`` (a suffix array or a part of one in its
+    order), the length of the prefix that its suffix shares with the one before it in
+    the order, up to ``most``; 0 at the first and outside ``order``."""
+    out = np.zeros(len(s), np.int64)
     if len(order) > 1:
-        h = textcore.span_hash(textcore.rolling(s), order, order + length)
-        out[order[1:]] = h[1:] == h[:-1]
+        out[order[1:]] = textcore.common_prefixes(s, order[:-1], order[1:], most)
     return out

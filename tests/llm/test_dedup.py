@@ -149,6 +149,19 @@ def test_components(spark):
     assert components.connected(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def edits(x, y):
+    """Word edit distance by the full table; more than one reads as two."""
+    if abs(len(x) - len(y)) > 1:
+        return 2
+    row = list(range(len(y) + 1))
+    for i, a in enumerate(x):
+        new = [i + 1]
+        for j, b in enumerate(y):
+            new.append(min(row[j] + (a != b), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row[-1], 2)
+
+
 def kept_lines(rows):
     """Direct: a line goes if any earlier line is within the bound."""
     places = sorted((i, k, lines.split_words(x)) for i, t in rows for k, x in enumerate((t or "").split("\n")))
@@ -156,8 +169,7 @@ def kept_lines(rows):
     for i, k, w in places:
         if not w:
             continue
-        near = lambda v: w == v or (min(len(w), len(v)) >= lines.NEAR_WORDS and lines.within_one_word(w, v))
-        if any(near(v) for v in before):
+        if any(edits(w, v) * 4 <= max(len(w), len(v)) * (edits(w, v) < 2) for v in before):
             gone.add((i, k))
         before.append(w)
     return {i: "\n".join(x for k, x in enumerate((t or "").split("\n")) if (i, k) not in gone) for i, t in rows}
