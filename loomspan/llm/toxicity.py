@@ -2,19 +2,22 @@
 
 Inputs of a word are a trained vector of its hash bucket and the mean of trained
 vectors of the character strings that it begins with.  Windows of ``WINDOW`` words that overlap by half or more
-cover the whole text (a word said again and again counts once); two GRUs of ``HIDDEN`` units read each window from either
+cover the whole text; two GRUs of ``HIDDEN`` units read each window from either
 side, attention pools their states, and a logit is made of the pool.  A text's
 score is the largest of its windows' probabilities.
 
-Training (numpy, on the driver) sees labelled rows only, at most ``MAX_TRAIN`` per
-class, those with the smallest hash of the id.  Only documents have labels, so each epoch
+Training (numpy, in one task, from which only the weights reach the driver) sees
+labelled rows only, at most ``MAX_TRAIN`` of either class, those with the smallest hash
+of the id.  Where that leaves the classes in another proportion than the labels have,
+losses are weighted to make up for it.  Only documents have labels, so each epoch
 takes of each text the windows that score highest now and learns from them.  The
 first coordinate of a word's vector starts at the log-odds of the label given that
 the word occurs, and the first epoch takes the windows with the largest of them.
 
 Defined results: an empty or null text is one window without words, and scores
-what the output bias gives; repeated rows score alike; a null id is held out;
-rows without a label are not learnt from; with labels of one class only, every
+what the output bias gives; repeated rows score alike and are learnt from once; a
+null id is held out; rows without a label are not learnt from; an id labelled with both
+classes is learnt from as either; with labels of one class only, every
 score is that class's; other columns are ignored; an empty table gives an empty
 result.
 """
@@ -42,13 +45,16 @@ LEAST_TEXTS = 3
 #: Share of word inputs that are blanked in training.
 DROPOUT = 0.15
 BUCKETS = 1 << 16
-MAX_TRAIN = 1500
-EPOCHS = 14
+#: Most texts of a class that are learnt from.
+MAX_TRAIN = 3000
+EPOCHS = 5
 #: Small training sets are seen more often, until this many steps are taken.
 LEAST_STEPS = 400
 BATCH = 96
 FOLDS = 5
 CHUNK = 1 << 20
+#: Windows that are read together.
+WINDOWS_AT_ONCE = 4000
 
 _BETWEEN = np.ones(256, bool)
 _BETWEEN[48:58] = _BETWEEN[65:91] = _BETWEEN[97:123] = _BETWEEN[128:] = False
@@ -58,80 +64,101 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (np.tanh(0.5 * x) + 1)
 
 
-class Words:
-    """The words of some texts: buckets, bytes, and windows as rows of word indexes.
+class Windows:
+    """Words and windows of some texts.  ``bucket`` has each word's hash bucket; the
+    leading strings of word i are ``gram[at[i]:at[i + 1]]``."""
 
-    Index ``n`` (one past the words) is padding."""
-
-    def __init__(self, data: np.ndarray, off: np.ndarray):
-        self.data = textcore.LOWER[data]
-        self.starts, self.ends, self.first = textcore.word_spans(self.data, off, _BETWEEN)
-        h = textcore.span_hash(textcore.rolling(self.data), self.starts, self.ends)
-        self.bucket = (h % np.uint64(BUCKETS)).astype(np.int64)
-        # a word that repeats the one before it adds nothing
-        doc = np.repeat(np.arange(len(off) - 1), np.diff(self.first))
-        fresh = np.append(True, (self.bucket[1:] != self.bucket[:-1]) | (doc[1:] != doc[:-1]))[: len(doc)]
-        self.starts, self.ends, self.bucket = self.starts[fresh], self.ends[fresh], self.bucket[fresh]
-        self.first = np.append(0, np.cumsum(np.bincount(doc[fresh], minlength=len(off) - 1)))
-        n = np.diff(self.first)
+    def __init__(self, sizes: np.ndarray):
+        self.first = np.append(0, np.cumsum(sizes))
+        self.n = int(self.first[-1])
         # the last window ends at or after the last word
-        per = np.maximum(1, -(-(n - WINDOW) // STRIDE) + 1)
-        self.doc = np.repeat(np.arange(len(n)), per)
+        per = np.maximum(1, -(-(sizes - WINDOW) // STRIDE) + 1)
+        self.doc = np.repeat(np.arange(len(sizes), dtype=np.int32), per)
         self.window_of_doc = np.append(0, np.cumsum(per))
-        lo = self.first[:-1][self.doc] + (np.arange(len(self.doc)) - self.window_of_doc[:-1][self.doc]) * STRIDE
-        at = lo[:, None] + np.arange(WINDOW)
-        self.index = np.where(at < self.first[1:][self.doc][:, None], at, len(self.starts))
-
-    def grams(self) -> tuple[np.ndarray, np.ndarray]:
-        """Buckets of the words' leading character strings, and for each word the
-        first one's place (length + 1).  Lengths are in bytes."""
-        size = self.ends - self.starts
-        count = (size[:, None] >= np.array(PREFIXES)).sum(1)
-        at = np.append(0, np.cumsum(count))
-        word = np.repeat(np.arange(len(size)), count)
-        length = np.array(PREFIXES)[np.arange(at[-1]) - at[:-1][word]]
-        h = textcore.span_hash(textcore.rolling(self.data), self.starts[word], self.starts[word] + length)
-        return (h % np.uint64(BUCKETS)).astype(np.int64), at
 
-    def inputs(self, m: dict, grams: tuple[np.ndarray, np.ndarray] | None = None, lo: int = 0, hi: int | None = None) -> np.ndarray:
+    def index(self, rows: np.ndarray) -> np.ndarray:
+        """The words of some windows; ``n`` (one past the words) is padding."""
+        doc = self.doc[rows]
+        at = (self.first[:-1][doc] + (rows - self.window_of_doc[:-1][doc]) * STRIDE)[:, None] + np.arange(WINDOW)
+        return np.where(at < self.first[1:][doc][:, None], at, self.n)
+
+    def parts(self) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Windows a few at a time: the range of their words, and their word indexes
+        within it (padding comes last)."""
+        for i in range(0, len(self.doc), WINDOWS_AT_ONCE):
+            index = self.index(np.arange(i, min(i + WINDOWS_AT_ONCE, len(self.doc))))
+            real = index < self.n
+            lo, hi = (int(index[real].min()), int(index[real].max()) + 1) if real.any() else (0, 0)
+            yield lo, hi, np.where(real, index - lo, hi - lo)
+
+    def strings(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets of the leading strings of words lo to hi, and for each word the
+        first one's place (length + 1)."""
+        return self.gram[self.at[lo] : self.at[hi]], self.at[lo : hi + 1] - self.at[lo]
+
+    def inputs(self, m: dict, lo: int, hi: int) -> np.ndarray:
         """Inputs of the words lo to hi: each word's own vector and the mean of its
         leading strings'; the last row is the padding's."""
-        gram, at = grams or self.grams()
-        bucket, at = self.bucket[lo:hi], at[lo : None if hi is None else hi + 1]
-        out = np.zeros((len(bucket) + 1, WORD_DIM + CHAR_DIM), np.float32)
-        out[:-1, :WORD_DIM] = m["E"][bucket]
+        gram, at = self.strings(lo, hi)
+        out = np.zeros((hi - lo + 1, WORD_DIM + CHAR_DIM), np.float32)
+        out[:-1, :WORD_DIM] = m["E"][self.bucket[lo:hi]]
         some = np.flatnonzero(np.diff(at))
         if len(some):
-            out[some, WORD_DIM:] = np.add.reduceat(m["C"][gram[at[0] : at[-1]]], at[some] - at[0], axis=0) / np.diff(at)[some][:, None]
+            out[some, WORD_DIM:] = np.add.reduceat(m["C"][gram], at[some], axis=0) / np.diff(at)[some][:, None]
         return out
 
 
-class Training:
-    """What training needs of many texts, without their bytes: buckets of words
-    and leading strings, and windows.  Built a megabyte at a time."""
-
-    inputs = Words.inputs
-
-    def __init__(self, raw: list[bytes]):
-        off = np.cumsum([0, *map(len, raw)])
-        bucket, gram, count, index, doc, n = [], [], [], [], [], 0
-        sizes = [np.zeros(1, np.int64)]
-        for lo, hi in textcore.chunks(off, CHUNK):
-            w = Words(np.frombuffer(b"".join(raw[lo:hi]), np.uint8), off[lo : hi + 1] - off[lo])
-            g, at = w.grams()
-            bucket.append(w.bucket.astype(np.int32))
-            gram.append(g.astype(np.int32))
-            count.append(np.diff(at).astype(np.int32))
-            index.append(np.where(w.index < len(w.starts), w.index + n, -1).astype(np.int32))
-            doc.append((w.doc + lo).astype(np.int32))
+def _buckets(h: np.ndarray) -> np.ndarray:
+    return (h % np.uint64(BUCKETS)).astype(np.int32)
+
+
+class Words(Windows):
+    """The windows of texts whose bytes are at hand."""
+
+    def __init__(self, data: np.ndarray, off: np.ndarray):
+        self.data = textcore.LOWER[data]
+        self.starts, self.ends, first = textcore.word_spans(self.data, off, _BETWEEN)
+        self.bucket = _buckets(textcore.hash_spans(self.data, self.starts, self.ends))
+        super().__init__(np.diff(first))
+
+    def strings(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        starts, size = self.starts[lo:hi], (self.ends - self.starts)[lo:hi]
+        count = (size[:, None] >= np.array(PREFIXES)).sum(1)
+        at = np.append(0, np.cumsum(count))
+        word = np.repeat(np.arange(len(size)), count)
+        # lengths are in bytes
+        length = np.array(PREFIXES)[np.arange(at[-1]) - at[:-1][word]]
+        base = int(starts[0]) if len(starts) else 0
+        end = int(starts[-1]) + PREFIXES[-1] if len(starts) else 0
+        return _buckets(textcore.hash_spans(self.data[base:end], starts[word] - base, starts[word] - base + length)), at
+
+
+class Training(Windows):
+    """What training needs of many texts, without their bytes: buckets of words and
+    of leading strings.  Built a megabyte at a time from a stream of texts."""
+
+    def __init__(self, texts: Iterator[bytes]):
+        bucket, gram, count, sizes, held = [], [], [], [np.zeros(0, np.int64)], []
+
+        def take() -> None:
+            w = Words(np.frombuffer(b"".join(held), np.uint8), np.cumsum([0, *map(len, held)]))
             sizes.append(np.diff(w.first))
-            n += len(w.starts)
-        self.n, self.bucket, self.doc = n, np.concatenate(bucket), np.concatenate(doc)
-        self.index = np.concatenate(index)
-        self.index[self.index < 0] = n
-        self.first = np.cumsum(np.concatenate(sizes))
-        self.gram, self.at = np.concatenate(gram), np.append(0, np.cumsum(np.concatenate(count), dtype=np.int64))
-        self.window_of_doc = np.searchsorted(self.doc, np.arange(len(raw) + 1))
+            bucket.append(w.bucket)
+            for lo in range(0, w.n, 100_000):
+                g, at = w.strings(lo, min(lo + 100_000, w.n))
+                gram.append(g)
+                count.append(np.diff(at).astype(np.int8))
+            held.clear()
+
+        for t in texts:
+            held.append(t)
+            if sum(map(len, held)) > CHUNK:
+                take()
+        if held:
+            take()
+        self.bucket, self.gram = (np.concatenate([np.zeros(0, np.int32), *x]) for x in (bucket, gram))
+        self.at = np.append(0, np.cumsum(np.concatenate([np.zeros(0, np.int8), *count]), dtype=np.int64))
+        super().__init__(np.concatenate([np.zeros(0, np.int64), *sizes]))
 
 
 def new_model(seed: int = 7) -> dict[str, np.ndarray]:
@@ -203,9 +230,12 @@ def _pool(m: dict, states: np.ndarray, mask: np.ndarray):
     return ctx @ m["o"] + m["c"][0], (hid, w, ctx)
 
 
-def window_logits(m: dict, words: Words) -> np.ndarray:
-    states, mask = _states(m, words.inputs(m), words.index, len(words.starts))
-    return _pool(m, states, mask)[0]
+def window_logits(m: dict, words: Windows) -> np.ndarray:
+    out = [np.zeros(0, np.float32)]
+    for lo, hi, index in words.parts():
+        states, mask = _states(m, words.inputs(m, lo, hi), index, hi - lo)
+        out.append(_pool(m, states, mask)[0])
+    return np.concatenate(out)
 
 
 def score_texts(m: dict, data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -218,10 +248,10 @@ def score_texts(m: dict, data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
-def _step(m: dict, words: Training, rows: np.ndarray, y: np.ndarray, grads: dict, blank: np.ndarray | None = None) -> None:
-    """Adds the gradient of the mean loss of some windows to ``grads``; ``blank``
-    has a chance in [0, 1) per window and place."""
-    index = words.index[rows]
+def _step(m: dict, words: Training, rows: np.ndarray, y: np.ndarray, weight: np.ndarray, grads: dict, blank: np.ndarray | None = None) -> None:
+    """Adds the gradient of the weighted mean loss of some windows to ``grads``;
+    ``blank`` has a chance in [0, 1) per window and place."""
+    index = words.index(rows)
     n = words.n
     used, local = np.unique(index, return_inverse=True)
     # words of this batch only, with padding last
@@ -243,7 +273,7 @@ def _step(m: dict, words: Training, rows: np.ndarray, y: np.ndarray, grads: dict
     keep: dict = {}
     states, mask = _states(m, x, local, last, keep)
     logit, (hid, w, ctx) = _pool(m, states, mask)
-    d = ((_sigmoid(logit) - y) / len(rows)).astype(np.float32)
+    d = ((_sigmoid(logit) - y) * weight / len(rows)).astype(np.float32)
     grads["o"] += ctx.T @ d
     grads["c"] += d.sum()
     dctx = d[:, None] * m["o"]
@@ -270,7 +300,7 @@ def _step(m: dict, words: Training, rows: np.ndarray, y: np.ndarray, grads: dict
 def _log_odds(doc: np.ndarray, bucket: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per bucket, shrunken log-odds of the label given that the text has it, and
     the number of texts that do."""
-    pairs = np.unique(doc * BUCKETS + bucket)
+    pairs = np.unique(doc.astype(np.int64) * BUCKETS + bucket)
     pos = np.bincount(pairs % BUCKETS, y[pairs // BUCKETS], BUCKETS)
     every = np.bincount(pairs % BUCKETS, minlength=BUCKETS)
     p, n = y.sum(), len(y) - y.sum()
@@ -278,17 +308,18 @@ def _log_odds(doc: np.ndarray, bucket: np.ndarray, y: np.ndarray) -> tuple[np.nd
     return odds * every / (every + 4), every
 
 
-def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> dict[str, np.ndarray]:
-    """A model of the given labelled texts, the same for the same rows in any order."""
-    rows = sorted(set(zip(texts, labels)))
+def train(words: Training, y: np.ndarray, share: float | None = None, epochs: int = EPOCHS, seed: int = 7) -> dict[str, np.ndarray]:
+    """A model of labelled texts; ``share`` is that of class 1 in all labels, if the
+    texts have another."""
     m = new_model(seed)
-    y = np.array([label for _, label in rows], np.float32)
-    if len(rows) == 0 or y.min() == y.max():
-        m["o"][:], m["c"][:] = 0, -9.0 if len(rows) == 0 or y[0] == 0 else 9.0
+    y = y.astype(np.float32)
+    if len(y) == 0 or y.min() == y.max():
+        m["o"][:], m["c"][:] = 0, -9.0 if len(y) == 0 or y[0] == 0 else 9.0
         return m
-    raw = [t.encode() for t, _ in rows]
-    words = Training(raw)
-    doc = np.repeat(np.arange(len(y)), np.diff(words.first))
+    own = float(y.mean())
+    share = own if share is None else share
+    weight = np.where(y == 1, share / own, (1 - share) / (1 - own)).astype(np.float32)
+    doc = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(words.first))
     odds, count = _log_odds(doc, words.bucket, y)
     gram_odds, gram_count = _log_odds(np.repeat(doc, np.diff(words.at)), words.gram, y)
     # in training, only buckets of enough texts have rows; row 0 is all others', and zero
@@ -297,7 +328,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     for k, init in (("E", odds), ("C", gram_odds)):
         m[k][:, 0] = init / 1.5
         m[k] = np.concatenate([np.zeros((1, m[k].shape[1]), np.float32), m[k][known[k]]])
-        row[k] = np.zeros(BUCKETS, np.int64)
+        row[k] = np.zeros(BUCKETS, np.int32)
         row[k][known[k]] = np.arange(1, len(known[k]) + 1)
     words.bucket, words.gram = row["E"][words.bucket], row["C"][words.gram]
     r = np.random.default_rng(seed)
@@ -306,7 +337,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     per_epoch = max(1, (len(y) + int((y == 0).sum())) // BATCH)
     for epoch in range(max(epochs, -(-LEAST_STEPS // per_epoch))):
         if epoch:
-            scores = _all_logits(m, words)
+            scores = window_logits(m, words)
         order = np.lexsort((-scores, words.doc))
         place = np.arange(len(order)) - words.window_of_doc[words.doc[order]]
         # the highest window of each text, and of clean ones the second too
@@ -314,7 +345,8 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
         r.shuffle(pick)
         for batch in np.array_split(pick, max(1, len(pick) // BATCH)):
             grads = {k: np.zeros_like(v) for k, v in m.items()}
-            _step(m, words, batch, y[words.doc[batch]], grads, r.random((len(batch), WINDOW)))
+            of = words.doc[batch]
+            _step(m, words, batch, y[of], weight[of], grads, r.random((len(batch), WINDOW)))
             grads["E"][0] = grads["C"][0] = 0
             t += 1
             for k, g in grads.items():
@@ -328,32 +360,14 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     return m
 
 
-def _parts(words: Training, step: int = 4000):
-    """Windows a few at a time: their place, the range of their words, and their
-    word indexes within it (padding comes last)."""
-    for i in range(0, len(words.index), step):
-        index = words.index[i : i + step]
-        real = index < words.n
-        lo, hi = (int(index[real].min()), int(index[real].max()) + 1) if real.any() else (0, 0)
-        yield lo, hi, np.where(real, index - lo, hi - lo)
-
-
 def _first_scores(m: dict, words: Training) -> np.ndarray:
     out = []
-    for lo, hi, index in _parts(words):
-        x = words.inputs(m, (words.gram, words.at), lo, hi)
+    for lo, hi, index in words.parts():
+        x = words.inputs(m, lo, hi)
         out.append(np.append(x[:-1, 0] + x[:-1, WORD_DIM], -99.0)[index].max(1))
     return np.concatenate(out)
 
 
-def _all_logits(m: dict, words: Training) -> np.ndarray:
-    out = []
-    for lo, hi, index in _parts(words):
-        states, mask = _states(m, words.inputs(m, (words.gram, words.at), lo, hi), index, hi - lo)
-        out.append(_pool(m, states, mask)[0])
-    return np.concatenate(out)
-
-
 def held_out(id_col: Column) -> Column:
     """Whether a document's label must not be learnt from."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % FOLDS == 0, F.lit(True))
@@ -361,15 +375,32 @@ def held_out(id_col: Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, text_col: str = "text", id_col: str = "doc_id") -> dict[str, np.ndarray]:
     """A model of the labelled documents that are not held out, at most
-    ``max_train`` of each class."""
-    marks = labels.select(labels[id_col].alias("k"), labels["toxic"].cast("int").alias("y")).where("y is not null").where(~held_out(F.col("k")))
-    parts = []
-    for label in (0, 1):
-        # the rows with the smallest hash; ids first, so that few texts are moved
-        chosen = marks.where(F.col("y") == label).select("k").distinct().orderBy(F.md5(F.col("k").cast("string")), "k").limit(max_train)
-        parts.append(chosen.withColumn("y", F.lit(label)))
-    rows = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text")).join(F.broadcast(parts[0].unionByName(parts[1])), F.col("id") == F.col("k")).select("text", "y").collect()
-    return train([r["text"] for r in rows], [r["y"] for r in rows])
+    ``max_train`` of each class.  One task reads their texts and trains."""
+    marks = labels.select(labels[id_col].alias("k"), labels["toxic"].cast("int").alias("y")).where("y in (0, 1)").where(~held_out(F.col("k"))).distinct()
+    total = {r["y"]: r["n"] for r in marks.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = total.get(1, 0) / max(1, sum(total.values()))
+    # the ids with the smallest hash; ids first, so that few texts are moved
+    by_hash = lambda y: marks.where(F.col("y") == y).orderBy(F.md5(F.col("k").cast("string")), "k").limit(max_train)
+    rows = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text")).join(F.broadcast(by_hash(0).unionByName(by_hash(1))), F.col("id") == F.col("k"))
+    # an id of many rows gives no more texts than there are ids
+    rows = rows.select(F.md5(F.col("id").cast("string")).alias("m"), "text", "y").dropDuplicates(["text", "y"]).orderBy("m", "text", "y").limit(2 * max_train)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        y: list[int] = []
+
+        def texts() -> Iterator[bytes]:
+            for b in batches:
+                data, off = textcore.utf8(b.column(0))
+                y.extend(b.column(1).to_pylist())
+                for i in range(b.num_rows):
+                    yield data[off[i] : off[i + 1]].tobytes()
+
+        m = train(Training(texts()), np.array(y), share)
+        yield pa.RecordBatch.from_arrays([pa.array(m), pa.array([v.tobytes() for v in m.values()], pa.binary()), pa.array([list(v.shape) for v in m.values()], pa.list_(pa.int64()))], ["name", "data", "shape"])
+
+    found = rows.select("text", "y").repartition(1).sortWithinPartitions(F.xxhash64("text"), "text", "y").mapInArrow(run, "name string, data binary, shape array<long>")
+    # nothing to learn from may leave no task at all
+    return {r["name"]: np.frombuffer(r["data"], np.float32).reshape(r["shape"]) for r in found.collect()} or train(Training(iter(())), np.zeros(0))
 
 
 def score(docs: DataFrame, model: dict[str, np.ndarray], text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -384,3 +415,15 @@ def score(docs: DataFrame, model: dict[str, np.ndarray], text_col: str = "text",
 
     scored = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).mapInArrow(run, f"id {id_type}, score double")
     return scored.select(F.col("id").alias(id_col), held_out(F.col("id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def without_toxic(df: DataFrame, model: dict[str, np.ndarray], text_col: str = "text") -> DataFrame:
+    """The rows whose text scores less than 0.5, with all their columns."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(score_texts(shared.value, *textcore.utf8(b.column(at))) < 0.5))
+
+    return df.mapInArrow(run, df.schema)

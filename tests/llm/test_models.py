@@ -14,16 +14,17 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_gradients_are_right():
-    words = toxicity.Training([b"you idiot the cat sat on a mat and more", b"nice day the sun is up"])
+    words = toxicity.Training(iter([b"you idiot the cat sat on a mat and more", b"nice day the sun is up"]))
     r = np.random.default_rng(3)
     m = {k: v.astype(np.float64) for k, v in toxicity.new_model().items()}
     y, rows = np.array([1.0, 0.0]), np.arange(2)
     grads = {k: np.zeros_like(v) for k, v in m.items()}
-    toxicity._step(m, words, rows, y, grads)
+    weight = np.array([0.5, 2.0])
+    toxicity._step(m, words, rows, y, weight, grads)
 
     def loss():
-        z = toxicity._all_logits(m, words)
-        return np.mean(np.log1p(np.exp(z)) - y * z)
+        z = toxicity.window_logits(m, words)
+        return np.mean(weight * (np.log1p(np.exp(z)) - y * z))
 
     for k in m:
         at = np.unravel_index(np.argmax(np.abs(grads[k])), grads[k].shape)
@@ -41,7 +42,8 @@ def test_windows_cover_every_word():
     for n in (0, 1, 23, 24, 25, 36, 37, 100):
         text = " ".join(f"w{i}" for i in range(n)).encode()
         w = toxicity.Words(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
-        assert set(w.index[w.index < n].tolist()) == set(range(n)) and len(w.index) >= 1
+        index = w.index(np.arange(len(w.doc)))
+        assert set(index[index < n].tolist()) == set(range(n)) and len(index) >= 1
 
 
 def labelled(n, seed):
@@ -58,14 +60,14 @@ def labelled(n, seed):
 
 def test_learns_held_out_texts():
     train, test = labelled(400, 1), labelled(200, 2)
-    m = toxicity.train([t for t, _ in train], [y for _, y in train], epochs=6)
+    m = toxicity.train(toxicity.Training(t.encode() for t, _ in train), np.array([y for _, y in train]), epochs=6)
     raw = [t.encode() for t, _ in test]
     s = toxicity.score_texts(m, np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
     assert np.mean((s >= 0.5) == np.array([y for _, y in test])) > 0.95
 
 
 def test_toxicity_cases(spark):
-    m = toxicity.train(["x", "y"], [0, 0])
+    m = toxicity.train(toxicity.Training(iter([b"x", b"y"])), np.zeros(2))
     df = spark.createDataFrame([(1, None), (None, ""), (3, "word " * 50_000), (3, "a")], "doc_id long, text string").withColumn("score", F.lit(1))
     got = toxicity.score(df, m).collect()
     assert len(got) == 4 and all(r["predicted"] == 0 and 0 <= r["score"] <= 1 for r in got)
