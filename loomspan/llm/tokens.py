@@ -30,6 +30,8 @@ from loomspan.llm import common, textcore
 CACHE_SCHEMA = "content_sha binary, tokenizer string, n_tokens long"
 #: Texts longer than this are encoded alone, so that a batch stays small.
 BATCH_BYTES = 1 << 20
+#: A content of more rows than this part of all is hot; so there are at most as many.
+MOST_HOT = 10_000
 
 
 @lru_cache(maxsize=4)
@@ -92,9 +94,17 @@ def token_counts(df: DataFrame, tokenizer: str, cache: str, text_col: str = "tex
     keys = common.written(source.select("id", F.octet_length("text").cast("long").alias("n_bytes"), "content_sha"), "token-keys")
     known = _cached(spark, cache).where(F.col("tokenizer") == digest).select("content_sha", "n_tokens")
     # of each content that the cache lacks, one row says where its text stands
-    misses = common.written(keys.groupBy("content_sha").agg(F.min("id").alias("at")).join(known, "content_sha", "left_anti").withColumnRenamed("content_sha", "want"), "token-misses")
-    texts = source.join(common.small(misses), (F.col("content_sha") == F.col("want")) & F.col("id").eqNullSafe(F.col("at")), "left_semi").select("content_sha", "text")
-    fresh = texts.mapInArrow(_encode(tokenizer), "content_sha binary, n_tokens long")
+    per = keys.groupBy("content_sha").agg(F.min("id").alias("at"), F.count(F.lit(1)).alias("rows"))
+    misses = common.written(per.join(known, "content_sha", "left_anti").withColumnRenamed("content_sha", "want"), "token-misses")
+    texts = source.join(common.small(misses), (F.col("content_sha") == F.col("want")) & F.col("id").eqNullSafe(F.col("at"))).select("content_sha", "text", "rows")
+    # rows equal in id and text are among those of contents that several rows have
+    once = texts.where("rows = 1").unionByName(texts.where("rows > 1").dropDuplicates(["content_sha"]))
+    fresh = once.select("content_sha", "text").mapInArrow(_encode(tokenizer), "content_sha binary, n_tokens long")
     fresh.select("content_sha", "n_tokens", F.lit(digest).alias("tokenizer")).write.mode("append").partitionBy("tokenizer").parquet(cache)
     counts = _cached(spark, cache).where(F.col("tokenizer") == digest).groupBy("content_sha").agg(F.max("n_tokens").alias("n_tokens"))
-    return keys.join(counts, "content_sha").select(F.col("id").alias(id_col), "n_bytes", "n_tokens")
+    # contents of very many rows are few, and joined by broadcast: no task holds all rows of one
+    total = per.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    hot = common.written(per.where(F.col("rows") > max(1000, total // MOST_HOT)).select("content_sha").join(counts, "content_sha"), "token-hot")
+    cold = keys.join(F.broadcast(hot.select("content_sha")), "content_sha", "left_anti").join(counts, "content_sha")
+    out = cold.unionByName(keys.join(F.broadcast(hot), "content_sha"))
+    return out.select(F.col("id").alias(id_col), "n_bytes", "n_tokens")
