@@ -7,13 +7,16 @@ import uuid
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: A word separator class as Java and DuckDB regular expressions write it.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 
+#: What a null id is taken for: larger than every other.
+NULL_ID = (1 << 63) - 1
+
 #: Bytes of a table's values that may be broadcast.
 BROADCAST_BYTES = 32 << 20
 
@@ -70,6 +73,37 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
+def keyed_rows(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """``id`` (nulls as ``NULL_ID``), ``rid``, which tells texts of one id apart, ``text``
+    (nulls as empty) and the whole ``row``."""
+    text = F.coalesce(df[text_col], F.lit(""))
+    row = F.struct(*(df[c] for c in df.columns))
+    return df.select(F.coalesce(df[id_col], F.lit(NULL_ID)).cast("long").alias("id"), F.xxhash64(text).alias("rid"), text.alias("text"), row.alias("row"))
+
+
+def with_copies(source: DataFrame) -> DataFrame:
+    """Adds ``again``: whether a row equal in id and text comes before.
+
+    Such rows are counted first, and only they are numbered: within the task that
+    reads them, so that no window holds more than a task's rows."""
+    counted = source.groupBy("id", "rid").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    copies = written(counted.select(F.col("id").alias("i"), F.col("rid").alias("r")), "copies")
+    if copies.isEmpty():
+        return source.withColumn("again", F.lit(False))
+    same = (F.col("id") == F.col("i")) & (F.col("rid") == F.col("r"))
+    at = source.withColumn("task", F.spark_partition_id())
+    alone = at.join(small(copies), same, "left_anti").withColumn("again", F.lit(False))
+    several = at.join(small(copies), same, "left_semi")
+    least = several.groupBy(F.col("id").alias("i"), F.col("rid").alias("r")).agg(F.min("task").alias("first"))
+    nth = F.row_number().over(Window.partitionBy("id", "rid", "task").orderBy("task"))
+    numbered = several.withColumn("nth", nth).join(least, same).withColumn("again", (F.col("task") != F.col("first")) | (F.col("nth") > 1))
+    return alone.unionByName(numbered.select(*alone.columns))
+
+
+def has_word(text: Column) -> Column:
+    return text.rlike(r"[^\x20\x09-\x0D]")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

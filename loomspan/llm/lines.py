@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomspan.llm import common, textcore
@@ -43,7 +43,6 @@ from loomspan.llm import common, textcore
 WORDS_PER_EDIT = 4
 #: Words whose variants are made together.
 VARIANT_WORDS = 200_000
-NULL_ID = (1 << 63) - 1
 _PLACE = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -237,10 +236,6 @@ def removed_lines(source: DataFrame) -> DataFrame:
     return common.written(lost.groupBy("id", "rid").agg(F.collect_set("line").alias("lost")).select(F.col("id").alias("i"), F.col("rid").alias("r"), "lost"), "line-lost")
 
 
-def _has_word(c: Column) -> Column:
-    return c.rlike(r"[^\x20\x09-\x0D]")
-
-
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
@@ -253,49 +248,24 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * 4, kinds))], ["id", "kept", "n_lines", "n_removed", "kept_sha256"])
 
 
-def _keyed(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    text = F.coalesce(df[text_col], F.lit(""))
-    row = F.struct(*(df[c] for c in df.columns))
-    return df.select(F.coalesce(df[id_col], F.lit(NULL_ID)).cast("long").alias("id"), F.xxhash64(text).alias("rid"), text.alias("text"), row.alias("row"))
-
-
-def _with_copies(source: DataFrame) -> DataFrame:
-    """Adds ``again``: whether a row equal in id and text comes before.
-
-    Such rows are counted first, and only they are numbered: within the task that
-    reads them, so that no window holds more than a task's rows."""
-    counted = source.groupBy("id", "rid").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    copies = common.written(counted.select(F.col("id").alias("i"), F.col("rid").alias("r")), "line-copies")
-    if copies.isEmpty():
-        return source.withColumn("again", F.lit(False))
-    same = (F.col("id") == F.col("i")) & (F.col("rid") == F.col("r"))
-    at = source.withColumn("task", F.spark_partition_id())
-    alone = at.join(common.small(copies), same, "left_anti").withColumn("again", F.lit(False))
-    several = at.join(common.small(copies), same, "left_semi")
-    least = several.groupBy(F.col("id").alias("i"), F.col("rid").alias("r")).agg(F.min("task").alias("first"))
-    nth = F.row_number().over(Window.partitionBy("id", "rid", "task").orderBy("task"))
-    numbered = several.withColumn("nth", nth).join(least, same).withColumn("again", (F.col("task") != F.col("first")) | (F.col("nth") > 1))
-    return alone.unionByName(numbered.select(*alone.columns))
-
-
 def _with_fate(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
     """``id, text, row, again`` and the numbers of the lines that go as ``lost``."""
-    source = _keyed(df, text_col, id_col)
+    source = common.keyed_rows(df, text_col, id_col)
     lost = common.small(removed_lines(source.drop("row")))
-    return _with_copies(source).join(lost, (F.col("id") == F.col("i")) & (F.col("rid") == F.col("r")), "left")
+    return common.with_copies(source).join(lost, (F.col("id") == F.col("i")) & (F.col("rid") == F.col("r")), "left")
 
 
 def dedup_lines(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Per row: id, ``kept`` (the text without removed lines), ``n_lines``,
     ``n_removed``, ``kept_sha256``."""
     out = _with_fate(df.select(id_col, text_col), text_col, id_col).select("id", "text", "lost", "again").mapInArrow(_cut, "id long, kept string, n_lines long, n_removed long, kept_sha256 string")
-    return out.withColumn("id", F.when(F.col("id") != NULL_ID, F.col("id"))).withColumnRenamed("id", id_col)
+    return out.withColumn("id", F.when(F.col("id") != common.NULL_ID, F.col("id"))).withColumnRenamed("id", id_col)
 
 
 def drop_lines(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The table with removed lines cut out of its texts and all other columns as
     they are.  A null text stays null."""
-    stays = lambda x, i: F.when(F.col("again"), ~_has_word(x)).otherwise(~F.array_contains("lost", i))
+    stays = lambda x, i: F.when(F.col("again"), ~common.has_word(x)).otherwise(~F.array_contains("lost", i))
     kept = F.array_join(F.filter(F.split("text", "\n"), stays), "\n")
     old = F.col("row")[text_col]
     text = F.when(old.isNotNull() & (F.col("again") | F.col("lost").isNotNull()), kept).otherwise(old)
