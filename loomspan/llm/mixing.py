@@ -130,7 +130,9 @@ def mix_sources(df: DataFrame, text_col: str = "text", source_col: str = "source
     """The documents with what the mix takes of each, and the slot schedule.
 
     Documents: id, ``source``, ``size``, ``source_size``, ``target``, ``taken``
-    (words, repeats counted).  Only ids, sources and sizes are shuffled.
+    (words, repeats counted), and of the slots that take them the first, the number and
+    the sum (``first_slot``, ``n_slots``, ``slot_sum``; slots that were appended have no
+    number).  Only ids, sources and sizes are shuffled.
     """
     piece = F.pmod(F.monotonically_increasing_id(), F.lit(NULL_PIECES))
     docs = common.written(df.select(df[id_col].alias("doc_id"), df[source_col].alias("source"), common.word_count(df[text_col]).alias("size"), piece.alias("piece")), "mix-docs")
@@ -145,8 +147,10 @@ def mix_sources(df: DataFrame, text_col: str = "text", source_col: str = "source
     turns = placed.where((size > 0) & (start < want)).select("row", "source", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((want - start - 1) / F.col("source_size")))).alias("turn"), start.alias("at"), "source_size")
     turns = turns.select("row", "source", (F.col("turn") * F.col("source_size") + F.col("at")).alias("from"), (F.col("turn") * F.col("source_size") + F.col("at") + size).alias("to"))
     pieces = turns.select("row", "source", "from", "to", F.explode(F.sequence(F.floor(F.col("from") / block) + 1, F.floor((F.col("to") - 1) / block) + 1)).alias("rank"))
-    slots = schedule.select(F.col("source").alias("s"), F.col("rank").alias("k"), "block_from", "block_to")
+    slots = schedule.select(F.col("source").alias("s"), F.col("rank").alias("k"), "slot", "block_from", "block_to")
     hit = pieces.join(slots, F.col("source").eqNullSafe(F.col("s")) & (F.col("rank") == F.col("k")))
-    taken = hit.groupBy("row").agg(F.sum(F.greatest(F.lit(0), F.least("to", "block_to") - F.greatest("from", "block_from"))).alias("taken"))
-    out = placed.join(taken, "row", "left").select(F.col("doc_id").alias(id_col), "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+    hit = hit.withColumn("words", F.least("to", "block_to") - F.greatest("from", "block_from")).where("words > 0")
+    taken = hit.groupBy("row").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"), F.count_distinct("slot").alias("n_slots"), F.sum_distinct("slot").alias("slot_sum"))
+    none = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    out = placed.join(taken, "row", "left").select(F.col("doc_id").alias(id_col), "source", "size", "source_size", "target", none("taken"), "first_slot", none("n_slots"), none("slot_sum"))
     return out, schedule

@@ -88,7 +88,7 @@ def test_mix_keeps_null_ids(spark, tmp_path):
     rows += [(None, "only nulls", "w " * n) for n in (3, 3, 7)]
     df = spark.createDataFrame(rows, "doc_id long, source string, text string")
     df.write.parquet(str(tmp_path / "documents"))
-    got = mixing.mix_sources(df)[0].select("doc_id", "size", "source_size", "target", "taken")
+    got = mixing.mix_sources(df)[0].select("doc_id", "size", "source_size", "target", "taken", "first_slot", "n_slots", "slot_sum")
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents/*.parquet'")
     assert rows_of(got) == rows_of_sql(con, ORACLES["op9_mixing"])
