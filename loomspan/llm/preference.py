@@ -81,14 +81,13 @@ def format_pairs(pairs: DataFrame, chosen: str = "chosen", rejected: str = "reje
 
 
 def pair_conversations(turns: DataFrame) -> DataFrame:
-    """Pairs for a table without preferences: each conversation is chosen, and the
-    rejected one is the same up to its last turn, whose text is that of the last turn
-    of the conversation beside it (id with its lowest bit turned).  Without one beside
-    it there is no rejected conversation."""
+    """Pairs for a table without preferences: each conversation is chosen.  The rejected
+    one is the same up to a turn drawn by a hash of its id, and goes on as the
+    conversation beside it (whole-number id with the lowest bit turned) does from that
+    turn.  Without one beside it there is no rejected conversation."""
     convs = gather_turns(turns)
-    beside = convs.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("for"), F.element_at("turns", -1)["text"].alias("other"))
+    beside = convs.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("for"), F.col("turns").alias("other"))
     joined = convs.join(beside, F.col("conv_id") == F.col("for"), "left")
-    n = F.size("turns")
-    last = F.element_at("turns", -1)
-    changed = F.concat(F.slice("turns", F.lit(1), n - 1), F.array(F.struct(last["turn"].alias("turn"), last["role"].alias("role"), F.col("other").alias("text"))))
-    return joined.select("conv_id", F.col("turns").alias("chosen"), F.when(F.col("other").isNotNull(), changed).alias("rejected"))
+    at = (F.conv(F.substring(F.md5(F.col("conv_id").cast("string")), 1, 4), 16, 10).cast("long") % F.size("turns")).cast("int")
+    rest = F.slice("other", at + 1, F.greatest(F.size("other"), F.lit(0)))
+    return joined.select("conv_id", F.col("turns").alias("chosen"), F.when(F.col("other").isNotNull(), F.concat(F.slice("turns", F.lit(1), at), rest)).alias("rejected"))

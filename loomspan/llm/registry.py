@@ -56,7 +56,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed, _ = mixing.mix_sources(common.documents(spark, sf_dir))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_slot", "n_slots", "slot_sum")
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM g"""
 
 ORACLES["op9_mixing"] = rf"""
-WITH d AS (SELECT doc_id, source, len({_WORDS})::BIGINT AS size FROM documents),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, len({_WORDS})::BIGINT AS size FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::BIGINT AS weight, 3 * source_size AS cap FROM s),
 l AS (SELECT *, sum(source_size) OVER ()::BIGINT - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS left_words,
@@ -45,12 +45,24 @@ c AS (SELECT *, cap <= weight * (left_words / left_weight) AS capped FROM l),
 t AS (SELECT source, source_size,
         CASE WHEN capped THEN cap::DOUBLE ELSE weight * (SELECT arg_max(left_words / left_weight, left_weight) FROM c WHERE NOT capped) END AS target FROM c),
 k AS (SELECT d.*, md5(doc_id::VARCHAR) AS key FROM d),
-p AS (SELECT doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY ('0x' || substr(key, 1, 4))::INT % 1024, key, doc_id, size
-        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM k)
-SELECT doc_id, size, source_size, target,
-  (size * (round(target)::BIGINT // greatest(source_size, 1))
-   + greatest(0, least(start + size, round(target)::BIGINT % greatest(source_size, 1)) - start))::BIGINT AS taken
-FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source"""
+p AS (SELECT rid, doc_id, source, size, coalesce(sum(size) OVER (PARTITION BY source ORDER BY ('0x' || substr(key, 1, 4))::INT % 1024, key, doc_id, size
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM k),
+-- the schedule: points n * golden ratio modulo 1 on the sources' pieces of the cumulative numbers of blocks
+b AS (SELECT source, round(target)::BIGINT AS want, greatest(1, least(4096, floor(sum(round(target)::BIGINT) OVER ()::DOUBLE / (512 * count(*) OVER ()))))::BIGINT AS block FROM t WHERE round(target) > 0),
+n AS (SELECT *, (want + block - 1) // block AS need FROM b),
+h AS (SELECT *, sum(need) OVER ()::BIGINT AS slots, sum(need) OVER (ORDER BY source NULLS LAST)::BIGINT AS upto FROM n),
+q AS (SELECT slot, slot * 6.180339887498949e-1 - floor(slot * 6.180339887498949e-1) AS point FROM (SELECT unnest(range(0, (SELECT max(slots) FROM h))) AS slot)),
+z AS (SELECT slot, source, row_number() OVER (PARTITION BY source ORDER BY slot) AS rank
+      FROM q JOIN h ON point >= (upto - need)::DOUBLE / slots::DOUBLE AND point < upto::DOUBLE / slots::DOUBLE),
+u AS (SELECT rid, p.source, h.want, h.block, size, start + source_size * unnest(range(0, ((want - start - 1) // source_size)::BIGINT + 1)) AS "from"
+      FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source JOIN h ON p.source IS NOT DISTINCT FROM h.source WHERE size > 0 AND start < want),
+v AS (SELECT *, unnest(range("from" // block + 1, ("from" + size - 1) // block + 2)) AS rank FROM u),
+w2 AS (SELECT v.rid, least("from" + size, v.rank * block, want) - greatest("from", (v.rank - 1) * block) AS words, slot
+       FROM v LEFT JOIN z ON v.source IS NOT DISTINCT FROM z.source AND v.rank = z.rank),
+k2 AS (SELECT rid, sum(words) AS taken, min(slot) AS first_slot, count(DISTINCT slot) AS n_slots, sum(DISTINCT slot) AS slot_sum FROM w2 WHERE words > 0 GROUP BY rid)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, first_slot::BIGINT AS first_slot,
+  coalesce(n_slots, 0)::BIGINT AS n_slots, coalesce(slot_sum, 0)::BIGINT AS slot_sum
+FROM p JOIN t ON p.source IS NOT DISTINCT FROM t.source LEFT JOIN k2 ON p.rid = k2.rid"""
 
 # windows of 50 bytes as 100 hex digits; a byte goes if a window over it starts in a smaller document too
 ORACLES["op7_suffix_array_dedup"] = """
@@ -80,18 +92,25 @@ r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM
 SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.y) AS component_id
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.x = d.doc_id GROUP BY d.doc_id"""
 
-# the prompt is all turns before the first that differs; here only the last can
+# the rejected conversation is the chosen one's first m turns, then the other's; both are numbered, and
+# the prompt is all turns before the first that differs
 ORACLES["op5_preference_format"] = """
 WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k,
     coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
-n AS (SELECT conv_id, count(*) AS n, arg_max(role, k) AS role, arg_max(text, k) AS text FROM t GROUP BY conv_id),
-p AS (SELECT a.conv_id, a.n, a.role, a.text AS mine, b.text AS other,
-        CASE WHEN b.text = a.text THEN a.n ELSE a.n - 1 END AS m FROM n a LEFT JOIN n b ON xor(a.conv_id, 1) = b.conv_id),
-q AS (SELECT t.conv_id, string_agg('<|' || t.role || '|>' || chr(10) || t.text || chr(10) || '<|end|>' || chr(10), '' ORDER BY k) AS prompt
-      FROM t JOIN p ON t.conv_id = p.conv_id AND k <= m GROUP BY t.conv_id)
-SELECT p.conv_id, m::BIGINT AS prompt_turns, coalesce(prompt, '') AS prompt,
-  CASE WHEN m < n THEN '<|' || role || '|>' || chr(10) || mine || chr(10) || '<|end|>' || chr(10) ELSE '' END AS chosen_completion,
-  CASE WHEN m < n AND role = 'assistant' THEN '14:' || (14 + length(mine) + 9) ELSE '' END AS chosen_mask,
-  CASE WHEN other IS NULL THEN NULL WHEN m < n THEN '<|' || role || '|>' || chr(10) || other || chr(10) || '<|end|>' || chr(10) ELSE '' END AS rejected_completion,
-  CASE WHEN other IS NULL THEN NULL WHEN m < n AND role = 'assistant' THEN '14:' || (14 + length(other) + 9) ELSE '' END AS rejected_mask
-FROM p LEFT JOIN q ON p.conv_id = q.conv_id"""
+n AS (SELECT conv_id, count(*) AS n, ('0x' || substr(md5(conv_id::VARCHAR), 1, 4))::INT % count(*) AS m FROM t GROUP BY conv_id),
+x AS (SELECT a.conv_id, xor(a.conv_id, 1) AS other, a.m FROM n a JOIN n b ON xor(a.conv_id, 1) = b.conv_id),
+r AS (SELECT t.* FROM t JOIN x USING (conv_id) WHERE k <= m UNION ALL SELECT x.conv_id, k, role, text FROM x JOIN t ON t.conv_id = x.other WHERE k > m),
+d AS (SELECT coalesce(a.conv_id, r.conv_id) AS conv_id, min(coalesce(a.k, r.k)) - 1 AS p
+      FROM (SELECT t.* FROM t JOIN x USING (conv_id)) a FULL JOIN r ON a.conv_id = r.conv_id AND a.k = r.k
+      WHERE a.k IS NULL OR r.k IS NULL OR a.role <> r.role OR a.text <> r.text GROUP BY 1),
+p AS (SELECT n.conv_id, x.conv_id IS NOT NULL AS paired, CASE WHEN x.conv_id IS NULL THEN greatest(0, n - 1) ELSE coalesce(d.p, n) END AS p
+      FROM n LEFT JOIN x USING (conv_id) LEFT JOIN d USING (conv_id)),
+s AS (SELECT 'c' AS side, * FROM t UNION ALL SELECT 'r', * FROM r),
+z AS (SELECT s.*, p, '<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10) AS turn FROM s JOIN p USING (conv_id)),
+y AS (SELECT *, coalesce(sum(length(turn)) OVER (PARTITION BY conv_id, side ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos FROM z WHERE k > p),
+c AS (SELECT conv_id, side, string_agg(turn, '' ORDER BY k) AS done,
+        string_agg((pos + length(role) + 5) || ':' || (pos + length(turn)), ',' ORDER BY k) FILTER (WHERE role = 'assistant') AS mask FROM y GROUP BY conv_id, side),
+o AS (SELECT conv_id, string_agg(turn, '' ORDER BY k) AS prompt FROM z WHERE side = 'c' AND k <= p GROUP BY conv_id)
+SELECT p.conv_id, p.p::BIGINT AS prompt_turns, coalesce(prompt, '') AS prompt, coalesce(a.done, '') AS chosen_completion, coalesce(a.mask, '') AS chosen_mask,
+  CASE WHEN paired THEN coalesce(b.done, '') END AS rejected_completion, CASE WHEN paired THEN coalesce(b.mask, '') END AS rejected_mask
+FROM p LEFT JOIN o USING (conv_id) LEFT JOIN c a ON a.conv_id = p.conv_id AND a.side = 'c' LEFT JOIN c b ON b.conv_id = p.conv_id AND b.side = 'r'"""
