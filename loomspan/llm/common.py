@@ -21,6 +21,12 @@ NULL_ID = (1 << 63) - 1
 BROADCAST_BYTES = 32 << 20
 
 
+#: Rows that Spark hands to a Python worker at once, where the session has its default:
+#: a batch of long texts stays small.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
     Only where that is unset and all runs on one machine, a temporary one is made."""
@@ -40,6 +46,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     recomputation of what made it.
     """
     spark = df.sparkSession
+    bound_batches(spark)
     path = f"{shared_dir(spark)}/loomspan/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -47,6 +54,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def bound_batches(spark: SparkSession) -> None:
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, BATCH_ROWS)
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes tables of ``written`` that nothing reads any more."""
     for t in tables:
@@ -105,6 +117,7 @@ def has_word(text: Column) -> Column:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 
 #: Bytes looked at together; temporaries are about forty times this.  Of a longer text,
 #: which stands alone, they are about ten times its bytes.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True

@@ -300,9 +300,13 @@ def _step(m: dict, words: Training, rows: np.ndarray, y: np.ndarray, weight: np.
 def _log_odds(doc: np.ndarray, bucket: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per bucket, shrunken log-odds of the label given that the text has it, and
     the number of texts that do."""
-    pairs = np.unique(doc.astype(np.int64) * BUCKETS + bucket)
-    pos = np.bincount(pairs % BUCKETS, y[pairs // BUCKETS], BUCKETS)
-    every = np.bincount(pairs % BUCKETS, minlength=BUCKETS)
+    pos, every = np.zeros(BUCKETS), np.zeros(BUCKETS, np.int64)
+    # a few texts at a time
+    cuts = np.searchsorted(doc, np.arange(0, len(y) + 64, 64))
+    for a, z in zip(cuts[:-1], cuts[1:]):
+        pairs = np.unique(doc[a:z].astype(np.int64) * BUCKETS + bucket[a:z])
+        pos += np.bincount(pairs % BUCKETS, y[pairs // BUCKETS], BUCKETS)
+        every += np.bincount(pairs % BUCKETS, minlength=BUCKETS)
     p, n = y.sum(), len(y) - y.sum()
     odds = np.log((pos + 0.5) / (p + 1)) - np.log((every - pos + 0.5) / (n + 1))
     return odds * every / (every + 4), every
@@ -322,6 +326,7 @@ def train(words: Training, y: np.ndarray, share: float | None = None, epochs: in
     doc = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(words.first))
     odds, count = _log_odds(doc, words.bucket, y)
     gram_odds, gram_count = _log_odds(np.repeat(doc, np.diff(words.at)), words.gram, y)
+    del doc
     # in training, only buckets of enough texts have rows; row 0 is all others', and zero
     known = {"E": np.flatnonzero(count >= LEAST_TEXTS), "C": np.flatnonzero(gram_count >= LEAST_TEXTS)}
     row = {}
