@@ -11,7 +11,7 @@ def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="loomspan")
     sub = p.add_subparsers(dest="command", required=True)
     sub.add_parser("schema")
-    for name, *args in (("validate-manifest", "path"), ("privacy-scan", "path"), ("sample-for-review", "path", "n", "seed"), ("calibrate", "path", "threshold"), ("check", "path")):
+    for name, *args in (("validate-manifest", "path"), ("privacy-scan", "path"), ("sample-for-review", "path", "n", "seed"), ("calibrate", "path", "threshold"), ("check", "path"), ("config-from-manifest", "path"), ("privacy-approve", "store", "category", "value", "reason", "approved_by", "approved_on")):
         s = sub.add_parser(name)
         for a in args:
             s.add_argument(a, **({"type": int} if a in ("n", "seed") else {"type": float} if a == "threshold" else {}))
@@ -21,20 +21,36 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "schema":
         print(json.dumps(schema.json_schema(), indent=2, sort_keys=True))
         return 0
-    if a.command == "validate-manifest":
-        from loomspan.operators.manifest import manifest_problems
+    if a.command == "config-from-manifest":
+        from loomspan.plans.reproduce import config_of
+        from loomspan.sources.corpus import read_manifest
 
-        with open(a.path) as f:
-            found = manifest_problems(json.load(f))
-        print("\n".join(found))
-        return int(bool(found))
+        print(config_of(read_manifest(a.path)), end="")
+        return 0
 
     from pyspark.sql import SparkSession
+    from pyspark.sql import functions as F
 
     from loomspan.operators import calibration, planning, privacy, validator
     from loomspan.sources import corpus
 
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    if a.command == "validate-manifest":
+        import os
+
+        from loomspan.operators.manifest import artifact_problems, manifest_problems
+
+        m = corpus.read_manifest(a.path)
+        found = manifest_problems(m)
+        found += [] if found else artifact_problems(spark, m, os.path.dirname(os.path.abspath(a.path)))
+        print("\n".join(found))
+        return int(bool(found))
+    if a.command == "privacy-approve":
+        row = privacy.approve(a.category, a.value, a.reason, a.approved_by, a.approved_on, spark)
+        old = corpus.read_approvals(spark, a.store).where(F.col("fingerprint") != row["fingerprint"]).collect()
+        corpus.save_approvals(spark.createDataFrame([*(r.asDict() for r in old), row], "fingerprint string, category string, reason string, approved_by string, approved_on string"), a.store)
+        print(row["fingerprint"])
+        return 0
     if a.command == "privacy-scan":
         missed = privacy.Detectors().missed(spark)
         if missed:

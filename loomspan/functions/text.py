@@ -50,9 +50,46 @@ def nfc(s: pd.Series) -> pd.Series:
 
 
 def content_fingerprint(turns: Column | str, role: str = "role", content: str = "content") -> Column:
-    """SHA-256 of the turns' roles and stripped texts; texts must be NFC already."""
+    """SHA-256 of the turns' roles and stripped texts in NFC.  Normal forms are made of
+    the joined turns, and only where a character is not ASCII: separators have one form."""
     parts = F.transform(col(turns), lambda t: F.concat(t[role], F.lit(UNIT), F.regexp_replace(t[content], r"(?U)^\s+|\s+$", "")))
-    return F.sha2(F.array_join(parts, RECORD_SEPARATOR), 256)
+    return F.sha2(nfc(F.array_join(parts, RECORD_SEPARATOR)), 256)
+
+
+def squeezed_fingerprint(turns: Column | str, role: str = "role", content: str = "content") -> Column:
+    """The same with every run of white space taken for one blank."""
+    parts = F.transform(col(turns), lambda t: F.concat(t[role], F.lit(UNIT), F.regexp_replace(F.regexp_replace(t[content], r"(?U)^\s+|\s+$", ""), r"(?U)\s+", " ")))
+    return F.sha2(nfc(F.array_join(parts, RECORD_SEPARATOR)), 256)
+
+
+def new_run_id() -> str:
+    """A fresh id, drawn on the driver once: a plan that is run again must not draw anew."""
+    return str(uuid.uuid4())
+
+
+def duration(seconds: float) -> str:
+    """Like 45s, 1m12s or 2h05m."""
+    s = int(seconds)
+    if s < 60:
+        return f"{s}s"
+    return f"{s // 60}m{s % 60:02d}s" if s < 3600 else f"{s // 3600}h{s % 3600 // 60:02d}m"
+
+
+def numbered_turns(turns: Column | str, role: str = "role", content: str = "content") -> Column:
+    """Turns as a judge reads them: a numbered paragraph each."""
+    return F.array_join(F.transform(col(turns), lambda t, i: F.concat(F.lit("["), i.cast("string"), F.lit("] "), t[role], F.lit(": "), t[content])), "\n\n")
+
+
+def generator_prompt(document: str) -> Column:
+    """What a generator is asked for a slot: the document, then a line per attribute."""
+    names = ("category", "priority", "channel", "resolution_status", "subdomain", "turn_count")
+    return F.concat_ws("\n", F.lit(document), *(F.concat(F.lit(f"{n}="), F.col(n).cast("string")) for n in names))
+
+
+def requested_turns(prompt: Column | str) -> Column:
+    """The turn count that a prompt asks for, null without one."""
+    found = F.regexp_extract(col(prompt), r"turn_count=(\d+)", 1)
+    return F.when(found != "", found.cast("int"))
 
 
 def value_fingerprint(category: Column | str, value: Column | str) -> Column:

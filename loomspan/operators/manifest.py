@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomspan.sources import corpus
+
 # The closed list of reasons, and the keys that a manifest must have.
 DISCARD_REASONS = (
     "structural_invalid",
@@ -45,15 +49,29 @@ REQUIRED = (
 )
 
 
+def discard_counts(m: dict) -> dict[str, int]:
+    """Discards by reason from the contract's list of ``reason, count``, or from a map."""
+    d = m["discards"]
+    if isinstance(d, dict):
+        return dict(d)
+    out: dict[str, int] = {}
+    for entry in d:
+        out[entry["reason"]] = out.get(entry["reason"], 0) + entry["count"]
+    return out
+
+
 def manifest_problems(m: dict) -> list[str]:
     """All problems of a manifest; missing keys are reported alone."""
     missing = [k for k in REQUIRED if k not in m]
     if missing:
         return [f"missing {k}" for k in missing]
-    out = [f"unknown discard reason {r}" for r in sorted(m["discards"]) if r not in DISCARD_REASONS]
-    counts = {k: m[k] for k in ("records_generated", "records_written", "duplicate_count", "resumed_count")} | {f"discards.{k}": v for k, v in m["discards"].items()}
+    if not isinstance(m["discards"], (list, dict)) or isinstance(m["discards"], list) and any(not isinstance(e, dict) or {"reason", "count"} - e.keys() for e in m["discards"]):
+        return ["discards are not a list of reason and count"]
+    entries = list(m["discards"].items()) if isinstance(m["discards"], dict) else [(e["reason"], e["count"]) for e in m["discards"]]
+    out = [f"unknown discard reason {r}" for r in sorted({str(r) for r, _ in entries}) if r not in DISCARD_REASONS]
+    counts = {k: m[k] for k in ("records_generated", "records_written", "duplicate_count", "resumed_count")} | {f"discards.{k}": v for k, v in entries}
     out += [f"{k} is not a whole number of at least 0" for k, v in counts.items() if isinstance(v, bool) or not isinstance(v, int) or v < 0]
-    if not out and m["records_generated"] - sum(m["discards"].values()) != m["records_written"]:
+    if not out and m["records_generated"] - sum(v for _, v in entries) != m["records_written"]:
         out.append("generated less discarded is not written")
     if not m["segments"]:
         out.append("no segments")
@@ -61,6 +79,23 @@ def manifest_problems(m: dict) -> list[str]:
     return out
 
 
+def artifact_problems(spark: SparkSession, m: dict, folder: str) -> list[str]:
+    """What keeps the artifact beside a manifest from being the one that it names.  An
+    artifact that is not there is none."""
+    found = corpus.artifact_sha256(spark, os.path.join(folder, m["output_filename"]))
+    return [] if found is None or found == m["output_sha256"] else [f"{m['output_filename']} has another checksum than the manifest"]
+
+
+def untraceable(records: DataFrame, manifests: DataFrame) -> DataFrame:
+    """Records whose run has no manifest: ``record_id, run_id``."""
+    return records.join(manifests.select(F.col("run_id").alias("_run")).distinct(), F.col("run_id").eqNullSafe(F.col("_run")), "left_anti").select("record_id", "run_id")
+
+
+def retries(responses: DataFrame, *group: str) -> DataFrame:
+    """Transport retries by kind: attempts that ended in an error other than a refusal."""
+    return responses.where("error_kind is not null and error_kind <> 'refusal'").groupBy(*group, "error_kind").agg(F.count(F.lit(1)).alias("n"))
+
+
 def reconcile(attempts: DataFrame, *group: str) -> DataFrame:
     """Generated, discarded and written attempts, and whether they add up."""
     out = attempts.groupBy(*group).agg(
@@ -88,8 +123,10 @@ def rerun_differences(a: DataFrame, b: DataFrame, key: str, columns: list[str])
     return j.select(key, F.explode(bad).alias("column"))
 
 
-def outcome(achieved_rows: int, composition_breaches: int, rate_breaches: int, stopped: bool = False) -> str:
-    """Completed only with rows, and no breach; a stopped run is not judged."""
+def outcome(achieved_rows: int, composition_breaches: int, rate_breaches: int, stopped: bool = False, refused: bool = False) -> str:
+    """Completed only with rows, and no breach; a refused or stopped run is not judged."""
+    if refused:
+        return "refused"
     if stopped:
         return "stopped"
     return "completed" if achieved_rows and not composition_breaches and not rate_breaches else "failed"

@@ -94,3 +94,17 @@ def contiguous_prefix(written: DataFrame, position: str, *group: str) -> DataFra
     zero = w.where(F.col(position) == 0).select(*(F.col(g).alias(f"_{g}") for g in group), F.lit(True).alias("_zero"))
     out = ends.join(zero, [ends[g].eqNullSafe(zero[f"_{g}"]) for g in group] or F.lit(True), "left")
     return out.select(*group, F.when(F.col("_zero"), F.col("_end") + 1).otherwise(0).cast("long").alias("next_position"))
+
+
+def request_spacing(requests: DataFrame, key: str, at: str, least_seconds: float) -> DataFrame:
+    """Per key the number of requests, and of those that followed the one before sooner
+    than they should."""
+    gap = F.unix_micros(F.col(at).cast("timestamp")) - F.lag(F.unix_micros(F.col(at).cast("timestamp"))).over(Window.partitionBy(key).orderBy(at))
+    return requests.select(key, gap.alias("gap")).groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("gap") < least_seconds * 1_000_000).alias("too_soon"))
+
+
+def progress(written: int, wanted: int, seconds: float) -> dict:
+    """Rate per minute and the time left, which is told from three records on."""
+    rate = 60 * written / seconds if seconds > 0 else None
+    left = (wanted - written) * seconds / written if written >= 3 and seconds > 0 else None
+    return {"written": written, "wanted": wanted, "per_minute": rate, "seconds_left": left}

@@ -2,21 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomspan import schema
-from loomspan.functions.text import content_fingerprint
+from loomspan.functions.text import squeezed_fingerprint
 from loomspan.operators import gates
 
+#: Ids that a group of duplicates lists.
+MOST_LISTED = 100
+
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``line, record, error`` of a JSON Lines file; a bad line is a row with an error.
-    Blank lines are skipped.  Lines are known by their text, not by a number, which a
-    distributed read doesn't have."""
-    text = spark.read.text(path).where(F.trim("value") != "")
-    parsed = text.select(F.col("value").alias("line"), F.from_json("value", schema.RECORD_DDL).alias("record"), F.json_object_keys("value").alias("_keys"))
-    return parsed.select("line", F.when(F.col("_keys").isNotNull(), F.col("record")).alias("record"), F.when(F.col("_keys").isNull(), F.lit("not_json")).alias("error"))
+    """``file, line_no, line, record, error`` of JSON Lines; a bad line is a row with an
+    error, and reading goes on.  Blank lines are skipped, but counted.
+
+    Lines are numbered from 1 in two steps: within the pieces that tasks read, then by
+    the pieces' lengths, so no task holds a whole file."""
+    text = spark.read.text(path).select(F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    starts = text.groupBy("file", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = starts.select("file", "block", "first", before.alias("before"))
+    known = [f.name for f in T.StructType.fromDDL(schema.RECORD_DDL).fields]
+    keys = F.json_object_keys("line")
+    unknown = F.array_join(F.array_sort(F.array_except(keys, F.array(*map(F.lit, known)))), ", ")
+    error = F.when(keys.isNull(), F.lit("not_json")).when(unknown != "", F.concat(F.lit("unknown fields: "), unknown))
+    numbered = text.join(starts, ["file", "block"]).select("file", (F.col("before") + F.col("at") - F.col("first") + 1).alias("line_no"), "line").where(F.trim("line") != "")
+    parsed = numbered.withColumn("record", F.from_json("line", schema.RECORD_DDL)).withColumn("error", error)
+    return parsed.withColumn("record", F.when(F.col("error").isNull(), F.col("record")))
+
+
+def time_findings(turns: DataFrame) -> DataFrame:
+    """Turns that were said before their record was made or after it was resolved, from
+    ``record_id, index, said_at, created_at, resolved_at``; a turn without a time is none."""
+    bad = (F.col("said_at") < F.col("created_at")) | (F.col("said_at") > F.col("resolved_at"))
+    return turns.where(bad).select("record_id", F.lit("times").alias("gate"), F.concat(F.lit("turn_time_out_of_bounds:"), F.col("index").cast("string")).alias("finding"))
+
+
+def upstream_findings(derived: DataFrame, upstream: DataFrame) -> DataFrame:
+    """Records of a derived set whose id the set it was made of doesn't have."""
+    ids = upstream.select(F.col("record_id").alias("_up")).distinct()
+    return derived.join(ids, F.col("record_id").eqNullSafe(F.col("_up")), "left_anti").select("record_id", F.lit("upstream").alias("gate"), F.lit("unknown_upstream_id").alias("finding"))
+
+
+def duplicate_groups(records: DataFrame) -> DataFrame:
+    """``fingerprint, kept, members, n``: records of the same turns, white space and
+    normal form aside; the first by record index is kept.  Ids of a group are listed
+    up to ``MOST_LISTED``, ``n`` counts them all."""
+    fp = records.select(squeezed_fingerprint("turns").alias("fingerprint"), F.struct("record_index", "record_id").alias("r"))
+    per = fp.groupBy("fingerprint").agg(F.min("r").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    rank = F.row_number().over(Window.partitionBy("fingerprint").orderBy("r"))
+    members = fp.join(per.select("fingerprint"), "fingerprint", "left_semi").withColumn("k", rank).where(F.col("k") <= MOST_LISTED)
+    listed = members.groupBy("fingerprint").agg(F.transform(F.array_sort(F.collect_list("r")), lambda x: x["record_id"]).alias("members"))
+    return per.join(listed, "fingerprint").select("fingerprint", F.col("first.record_id").alias("kept"), "members", "n")
 
 
 def contract_findings(records: DataFrame) -> DataFrame:
@@ -32,7 +71,7 @@ def version_findings(records: DataFrame) -> DataFrame:
 
 def duplicate_findings(records: DataFrame) -> DataFrame:
     ids = records.groupBy("record_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("record_id", F.lit("duplicates").alias("gate"), F.lit("duplicate_record_id").alias("finding"))
-    fp = records.withColumn("fp", content_fingerprint("turns"))
+    fp = records.withColumn("fp", squeezed_fingerprint("turns"))
     first = fp.groupBy("fp").agg(F.min("record_index").alias("m"), F.count(F.lit(1)).alias("n")).where("n > 1")
     same = fp.join(first, "fp").where(F.col("record_index") > F.col("m")).select("record_id", F.lit("duplicates").alias("gate"), F.lit("duplicate_content").alias("finding"))
     return ids.unionByName(same)

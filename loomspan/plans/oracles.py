@@ -114,8 +114,8 @@ ORACLES: dict[str, str] = {
     "approved_suppression": f"""{_FOUND}, ok AS (SELECT DISTINCT value FROM m WHERE category = 'PHONE' AND doc_id % 3 = 0)
         SELECT category, CASE WHEN status = 'blocking' AND category = 'PHONE' AND value IN (SELECT value FROM ok) THEN 'approved' ELSE status END AS status, count(*) AS n FROM f GROUP BY 1, 2""",
     "scan_totals": "SELECT count(DISTINCT conv_id) AS records, count(*) + count(DISTINCT conv_id) AS fields FROM conversations",
-    "floor_probe": f"""WITH probe AS (SELECT * FROM (VALUES ('EMAIL', 'jane.roe@acme-corp.co.uk'), ('PHONE', '212-867-5309'), ('CREDIT_CARD', '4929123456789012'),
-        ('US_SSN', '123-45-6789')) v(expected, text)), {_found('probe', 'expected')} SELECT DISTINCT expected, value FROM m WHERE category = expected""",
+    "floor_probe": f"""WITH probe AS (SELECT * FROM (VALUES ('EMAIL', 'mira.okafor@northwindow.io'), ('PHONE', '(646) 738-2091'), ('CREDIT_CARD', '4539 7281 0046 3317'),
+        ('US_SSN', '531-08-4472')) v(expected, text)), {_found('probe', 'expected')} SELECT DISTINCT expected, value FROM m WHERE category = expected""",
     "reject_reason_tally": f"WITH {_ATT} SELECT reason, count(*) AS n FROM att WHERE reason IS NOT NULL GROUP BY 1",
     "discard_rates": f"""WITH {_ATT}, l AS (SELECT * FROM (VALUES ('privacy_finding', 0.005::DOUBLE), ('structural_invalid', 0.25)) v(reason, lim)),
         c AS (SELECT l.reason, lim, count(*) FILTER (att.reason = l.reason) AS n, count(*) AS generated FROM l, att GROUP BY 1, 2)
@@ -154,3 +154,23 @@ ORACLES: dict[str, str] = {
     "ordered_serialization": f"""WITH {_META} SELECT o_orderkey, '{{"category":"' || category || '","channel":"' || channel || '","priority":"' || priority
         || '","resolution_status":"' || resolution_status || '"}}' AS line FROM meta""",
 }
+
+ORACLES["traceability"] = "SELECT o_orderkey AS record_id, o_custkey AS run_id FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 12)"
+ORACLES["retry_tally"] = """SELECT user_id % 8 AS run, CASE event_type WHEN 'error' THEN 'transport' ELSE 'timeout' END AS error_kind, count(*) AS n
+FROM events WHERE event_type IN ('error', 'click') GROUP BY 1, 2"""
+ORACLES["resume_truncate"] = f"WITH {_META} SELECT * FROM meta WHERE o_orderkey < 700"
+ORACLES["resume_remaining"] = f"WITH {_META} SELECT category, count(*) AS n FROM meta WHERE o_orderkey >= 700 GROUP BY 1"
+ORACLES["request_spacing"] = """WITH g AS (SELECT user_id, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS gap FROM events)
+SELECT user_id, count(*) AS n, count(*) FILTER (WHERE gap < 3600000000) AS too_soon FROM g GROUP BY 1"""
+ORACLES["judge_prompt_turns"] = f"""WITH {_TURNS}, n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS i FROM t)
+SELECT conv_id, string_agg('[' || i || '] ' || role || ': ' || text, chr(10) || chr(10) ORDER BY i) AS prompt FROM n GROUP BY 1"""
+ORACLES["requested_turn_count"] = "SELECT p_partkey, p_size AS turns FROM part"
+ORACLES["covered_types"] = "SELECT unnest(['CREDIT_CARD', 'EMAIL', 'IP_ADDRESS', 'PHONE', 'US_SSN']) AS category"
+ORACLES["turn_time_bounds"] = """SELECT o_orderkey AS record_id, 'times' AS gate, 'turn_time_out_of_bounds:' || l_linenumber AS finding
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderdate OR l_shipdate > o_orderdate + INTERVAL 60 DAY"""
+ORACLES["upstream_ids"] = """SELECT doc_id AS record_id, 'upstream' AS gate, 'unknown_upstream_id' AS finding FROM labels
+WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE lang <> 'fr')"""
+ORACLES["duplicate_turn_groups"] = rf"""WITH {_TURNS}, f AS (SELECT conv_id, role, trim(regexp_replace(substr(text, 1, 12), '\s+', ' ', 'g')) AS body FROM t WHERE turn = 0),
+g AS (SELECT min(conv_id) AS first, count(*) AS n, (list(conv_id ORDER BY conv_id))[1:100] AS ids FROM f GROUP BY role, body HAVING count(*) > 1)
+SELECT 'r' || first AS kept, array_to_string(list_transform(ids, lambda x: 'r' || x), ',') AS members, n FROM g"""
+ORACLES["detector_errors"] = f"WITH {_TURNS} SELECT DISTINCT conv_id AS record_id, 'turns[' || turn || '].content' AS field, 'detector_error' AS reason FROM t WHERE length(text) > 200"

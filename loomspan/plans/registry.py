@@ -10,6 +10,7 @@ from loomspan import schema
 from loomspan.functions import text as tx
 from loomspan.operators import calibration, composition, duplicates, gates, manifest, metrics, planning, privacy, validator
 from loomspan.plans import adapters as ad
+from loomspan.plans import checkpoint
 from loomspan.plans.oracles import ORACLES  # noqa: F401
 
 #: What the order adapter's corpus was asked to be.
@@ -360,3 +361,77 @@ def validator_report(spark, d):
         "turns", F.struct((F.col("conv_id") / 80.0).alias("coherence_score"), F.lit("q").alias("rubric_id")).alias("quality"), F.struct(F.lit("m").alias("model_id"), F.lit("j").alias("judge_model_id")).alias("generation"),
     )
     return validator.report(validator.all_findings(r))
+
+
+@query
+def traceability(spark, d):
+    """Orders whose customer, as the run, is not among those of the first nations."""
+    r = ad.table(spark, d, "orders").select(F.col("o_orderkey").alias("record_id"), F.col("o_custkey").alias("run_id"))
+    return manifest.untraceable(r, ad.table(spark, d, "customer").where("c_nationkey < 12").select(F.col("c_custkey").alias("run_id")))
+
+
+@query
+def retry_tally(spark, d):
+    kinds = F.when(F.col("event_type") == "error", "transport").when(F.col("event_type") == "click", "timeout").when(F.col("event_type") == "view", "refusal")
+    return manifest.retries(ad.table(spark, d, "events").select((F.col("user_id") % 8).alias("run"), kinds.alias("error_kind")), "run")
+
+
+@query
+def resume_truncate(spark, d):
+    return checkpoint.prefix(ad.ticket_meta(spark, d), 700, "o_orderkey")
+
+
+@query
+def resume_remaining(spark, d):
+    slots = ad.ticket_meta(spark, d).withColumnRenamed("o_orderkey", "position")
+    return checkpoint.remaining(slots, 700).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def request_spacing(spark, d):
+    return metrics.request_spacing(ad.table(spark, d, "events"), "user_id", "ts", 3600)
+
+
+@query
+def judge_prompt_turns(spark, d):
+    return ad.records(spark, d).select("conv_id", tx.numbered_turns("turns").alias("prompt"))
+
+
+@query
+def requested_turn_count(spark, d):
+    slots = ad.table(spark, d, "part").select("p_partkey", F.lit("billing").alias("category"), F.lit("low").alias("priority"), F.lit("email").alias("channel"), F.lit("resolved").alias("resolution_status"), F.col("p_type").alias("subdomain"), F.col("p_size").alias("turn_count"))
+    return slots.select("p_partkey", tx.requested_turns(tx.generator_prompt("Write a conversation.")).alias("turns"))
+
+
+@query
+def covered_types(spark, d):
+    return spark.createDataFrame([(c,) for c in privacy.covered_types()], "category string")
+
+
+@query
+def turn_time_bounds(spark, d):
+    """Line items as turns, said at shipping, of orders resolved 60 days after their date."""
+    o, li = ad.table(spark, d, "orders"), ad.table(spark, d, "lineitem")
+    t = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_orderkey").alias("record_id"), F.col("l_linenumber").alias("index"), F.col("l_shipdate").alias("said_at"), F.col("o_orderdate").alias("created_at"), (F.col("o_orderdate") + F.expr("INTERVAL 60 DAYS")).alias("resolved_at")
+    )
+    return validator.time_findings(t)
+
+
+@query
+def upstream_ids(spark, d):
+    return validator.upstream_findings(ad.table(spark, d, "labels").select(F.col("doc_id").alias("record_id")), ad.table(spark, d, "documents").where("lang <> 'fr'").select(F.col("doc_id").alias("record_id")))
+
+
+@query
+def duplicate_turn_groups(spark, d):
+    """Conversations of one opening, white space aside, as groups of duplicates."""
+    t = ad.turns(spark, d).where("turn = 0").select(F.col("conv_id").alias("record_index"), F.concat(F.lit("r"), F.col("conv_id")).alias("record_id"), F.array(F.struct("role", F.substring("text", 1, 12).alias("content"))).alias("turns"))
+    return validator.duplicate_groups(t).select("kept", F.array_join("members", ",").alias("members"), "n")
+
+
+@query
+def detector_errors(spark, d):
+    """Texts too long for a detector are reported, not taken for clean."""
+    f = ad.turns(spark, d).select(F.col("conv_id").alias("record_id"), F.concat(F.lit("turns["), F.col("turn"), F.lit("].content")).alias("field"), F.when(F.length("text") > 200, "too long").alias("detector_problem"))
+    return privacy.failed_fields(f)

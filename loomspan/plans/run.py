@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspan.functions.text import record_id
+from loomspan.functions.text import content_fingerprint, record_id
 from loomspan.operators import composition, gates, manifest, metrics, planning, privacy
 from loomspan.sources import corpus
 
@@ -48,6 +48,7 @@ def attempts(slots: DataFrame, responses: DataFrame, weights: dict[str, float],
 
 def execute(spark: SparkSession, config: dict, seed: int, responses: DataFrame, document: dict, rubric: dict, run_id: str, out_dir: str) -> dict:
     """The whole run; returns its manifest, which is written beside the corpus."""
+    import hashlib
     import os
     from datetime import datetime, timezone
 
@@ -67,14 +68,16 @@ def execute(spark: SparkSession, config: dict, seed: int, responses: DataFrame,
     result = manifest.outcome(n, len(over), len(rates))
     tally = {r["reason"]: r["n"] for r in metrics.discards(made).collect()}
     nested = lambda df, v: {d: {r["member"]: r[v] for r in df.where(F.col("dimension") == d).collect()} for d in config["composition"]}
+    done, revision = datetime.now(timezone.utc).isoformat(), config.get("code_revision") or {"commit": None, "dirty": False}
     document_out = {
-        "manifest_version": 1, "run_id": run_id, "schema_version": "1.0.0", "seed": seed, "config": {k: v for k, v in config.items()}, "code_revision": {"commit": "", "dirty": False},
-        "input_hashes": {"document": document["source_id"]}, "models": sorted(r[0] for r in made.select("model_id").distinct().collect()), "environment_overrides": {},
-        "started_at": started, "completed_at": datetime.now(timezone.utc).isoformat(), "records_generated": made.count(), "records_written": n, "discards": tally, "retry_counts": {},
-        "resumed_count": 0, "segments": [{"first": 0, "last": max(n - 1, 0)}], "duplicate_count": n - written.select(F.to_json("turns")).distinct().count(), "composition_requested": config["composition"],
+        "manifest_version": "1.0.0", "run_id": run_id, "schema_version": "1.0.0", "seed": seed, "config": {k: v for k, v in config.items()}, "code_revision": revision,
+        "input_hashes": config.get("input_hashes") or {"document": document.get("sha256") or hashlib.sha256(document.get("body", "").encode()).hexdigest()},
+        "models": {role: {"model_id": config.get("models", {}).get(role, {}).get("model_id", ""), "max_tokens": config.get("models", {}).get(role, {}).get("max_tokens", 4096), "sampling_seed": None, "fallback_models": [], "extra": {}} for role in ("generator", "judge")}, "environment_overrides": {},
+        "started_at": started, "completed_at": done, "records_generated": made.count(), "records_written": n, "discards": [{"reason": k, "count": v} for k, v in sorted(tally.items())], "retry_counts": {r["error_kind"]: r["n"] for r in manifest.retries(responses).collect()},
+        "resumed_count": 0, "segments": [{"code_revision": revision, "started_at": started, "completed_at": done, "first_record_index": 0, "last_record_index": max(n - 1, 0)}], "duplicate_count": n - written.select(content_fingerprint("turns")).distinct().count(), "composition_requested": config["composition"],
         "composition_assigned": nested(composition.shares(plan), "share"), "composition_achieved": nested(have, "share"),
         "coherence_score_distribution": {r["bucket"]: r["n"] for r in metrics.histogram(written.select(F.col("quality.coherence_score").alias("score"))).collect()},
-        "output_filename": run_id, "output_sha256": "", "outcome": result, "breaches": [r.asDict() for r in over], "rate_breaches": [r.asDict() for r in rates],
+        "output_filename": run_id, "output_sha256": corpus.artifact_sha256(spark, staging), "outcome": result, "breaches": [r.asDict() for r in over], "rate_breaches": [r.asDict() for r in rates],
     }
     if result == "completed":
         corpus.publish(staging, final, gate_passed=True)

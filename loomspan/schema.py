@@ -90,4 +90,5 @@ def json_schema() -> dict:
         quality=obj(coherence_score={"type": "number", "minimum": 0, "maximum": 1}, rubric_id=text),
         generation=obj(model_id=text, judge_model_id=text),
     )
-    return {"$schema": "https://json-schema.org/draft/2020-12/schema", "title": "Record", **record}
+    # fixed value: the title of the contract
+    return {"$schema": "https://json-schema.org/draft/2020-12/schema", "title": "TicketRecord", **record}

@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
+import shutil
 import tomllib
 from pathlib import Path
 
@@ -126,7 +128,7 @@ def domain_document(path: str) -> dict:
         problems.append("no body")
     if problems:
         raise ConfigError(problems)
-    return {"subdomains": sorted(map(str, names)), "body": body, "source_id": f"{Path(path).name}@{hashlib.sha256(raw).hexdigest()[:12]}"}
+    return {"subdomains": sorted(map(str, names)), "body": body, "source_id": f"{Path(path).name}@{hashlib.sha256(raw).hexdigest()[:12]}", "sha256": hashlib.sha256(raw).hexdigest()}
 
 
 def rubric(path: str) -> dict:
@@ -146,6 +148,24 @@ def rubric(path: str) -> dict:
     return {"rubric_id": str(fields.get("rubric_id") or fields.get("id")), "weights": {k: float(v) for k, v in weights.items()}, "body": body}
 
 
+#: Settings that a configuration may have.
+SETTINGS = {*schema.DEFAULTS, "composition", "record_count", "seed", "models", "output_path", "prompt_document", "rubric", "budget", "concurrency", "requests_per_minute"}
+
+#: Parts of names of settings that tell how to reach a service or who asks.
+CONNECTION_WORDS = ("key", "token", "secret", "password", "credential", "endpoint", "base_url", "region", "profile")
+
+
+def misplaced(settings: dict, inside: bool = False) -> list[str]:
+    """Names of connection settings among what is passed on to models."""
+    out = []
+    for k, v in settings.items():
+        if inside and any(w in k.lower() for w in CONNECTION_WORDS) and k not in ("max_tokens",):
+            out.append(k)
+        if isinstance(v, dict):
+            out += misplaced(v, inside or k == "extra")
+    return sorted(out)
+
+
 def load_config(path: str) -> dict:
     """A TOML run configuration over the defaults, or all its problems at once."""
     try:
@@ -153,7 +173,18 @@ def load_config(path: str) -> dict:
     except (OSError, tomllib.TOMLDecodeError) as e:
         raise ConfigError([str(e)]) from e
     config = {**schema.DEFAULTS, "composition": schema.DEFAULT_COMPOSITION, **given}
-    problems = []
+    problems = [f"unknown setting {k}" for k in sorted(given.keys() - SETTINGS)]
+    problems += [f"{k}: connection settings belong in the environment" for k in misplaced(given)]
+    for k in ("max_coherence_discard_rate", "max_privacy_discard_rate", "coherence_threshold"):
+        if not 0 <= config[k] <= 1:
+            problems.append(f"{k} is not between 0 and 1")
+    if any(config[k] < 1 for k in ("window_days", "max_attempts", "max_consecutive_failures", "checkpoint_interval")):
+        problems.append("window, attempts, failures and interval must be at least 1")
+    if not 0 <= config["min_resolution_seconds"] <= config["max_resolution_seconds"]:
+        problems.append("the least resolution time is above the most")
+    for role in ("generator", "judge"):
+        if role in config.get("models", {}) and not config["models"][role].get("model_id"):
+            problems.append(f"{role} has no model_id")
     n = config.get("record_count")
     if isinstance(n, bool) or not isinstance(n, int) or n < 1:
         problems.append("record_count is not a whole number above 0")
@@ -183,6 +214,47 @@ def sha256_file(path: str) -> str:
     return h.hexdigest()
 
 
+def artifact_sha256(spark: SparkSession, path: str) -> str | None:
+    """The checksum of a file, or of a folder of parts that follow each other by name:
+    SHA-256 of the parts' checksums, each made by the task that reads the part.  None
+    where nothing is there."""
+    if os.path.isfile(path):
+        return sha256_file(path)
+    if not os.path.isdir(path):
+        return None
+    parts = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha"))
+    return hashlib.sha256("".join(r["sha"] for r in parts.orderBy("name").collect()).encode()).hexdigest()
+
+
+def read_manifest(path: str) -> dict:
+    """A manifest: a JSON object that names its run."""
+    try:
+        found = json.loads(Path(path).read_text())
+    except (OSError, ValueError) as e:
+        raise ConfigError([str(e)]) from e
+    if not isinstance(found, dict) or not found.get("run_id"):
+        raise ConfigError([f"{path} is not a manifest"])
+    return found
+
+
+def quarantined_text(quarantine: DataFrame, record_id: str, field: str) -> str | None:
+    """The whole text of a quarantined record's field, ``scenario`` or ``turns[i].content``."""
+    i = re.fullmatch(r"turns\[(\d+)\]\.content", field)
+    text = F.get(F.col("record.turns"), F.lit(int(i[1])))["content"] if i else F.col("record.scenario") if field == "scenario" else F.lit(None).cast("string")
+    row = quarantine.where(F.col("record.record_id") == record_id).select(text.alias("t")).first()
+    return row and row["t"]
+
+
+def retain(staging: str, checkpoint: str, *, succeeded: bool) -> list[str]:
+    """Removes staging and checkpoint of a run that succeeded; what is left otherwise."""
+    here = [p for p in (staging, checkpoint) if os.path.exists(p)]
+    if not succeeded:
+        return here
+    for p in here:
+        shutil.rmtree(p) if os.path.isdir(p) else os.remove(p)
+    return []
+
+
 def write_json(document: dict, path: str) -> None:
     """Written beside the place and renamed into it."""
     temporary = f"{path}.tmp"

@@ -44,8 +44,8 @@ def test_record_id_is_uuid5(spark):
 @pytest.mark.parametrize(
     "category,value,expected",
     [
-        ("EMAIL", " jane.roe@acme.com ", "••••••@acme.com"), ("EMAIL", "ab@c.de", "••@c.de"), ("EMAIL", "noat", "<4 chars: 4a>"),
-        ("CREDIT_CARD", "4929-1234-5678-9012", "492912••••••••••"), ("PHONE", "212-867-5309", "212867••••"), ("US_SSN", "123-45-6789", "<11 chars: 9d 2o>"), ("PHONE", "12", "<2 chars: 2d>"), ("EMAIL", "", ""),
+        ("EMAIL", " tom.reed@mail.com ", "••••••@mail.com"), ("EMAIL", "ab@c.de", "••@c.de"), ("EMAIL", "noat", "<4 chars: 4a>"),
+        ("CREDIT_CARD", "4539-7281-0046-3317", "453972••••••••••"), ("PHONE", "646-738-2091", "646738••••"), ("US_SSN", "531-08-4472", "<11 chars: 9d 2o>"), ("PHONE", "12", "<2 chars: 2d>"), ("EMAIL", "", ""),
     ],
 )
 def test_mask(spark, category, value, expected):
@@ -55,9 +55,9 @@ def test_mask(spark, category, value, expected):
 @pytest.mark.parametrize(
     "category,value,expected",
     [
-        ("EMAIL", "jane.roe@acme-corp.co.uk", False), ("EMAIL", "user@notexample.com", False), ("EMAIL", "someone@example.company.com", False), ("EMAIL", "j.doe@example.com", True),
-        ("EMAIL", "user@sub.example.com", True), ("EMAIL", "user@my-app.invalid", True), ("PHONE", "212-867-5309", False), ("PHONE", "212-555-0200", False), ("PHONE", "(212) 555-0199", True),
-        ("PHONE", "+1-212-555-0100", True), ("PHONE", "2125550142", True), ("CREDIT_CARD", "4111 1111 1111 1111", True), ("CREDIT_CARD", "4929123456789012", False), ("US_SSN", "000-00-0000", False),
+        ("EMAIL", "pat@shop.test", True), ("EMAIL", "pat@mail.EXAMPLE.org", True), ("EMAIL", "pat@contest", False), ("EMAIL", "pat@example.org.uk", False), ("EMAIL", "pat@anexample.net", False),
+        ("PHONE", "808-555-0163", True), ("PHONE", "1 (808) 555-0100", True), ("PHONE", "808-555-0300", False), ("PHONE", "808-554-0163", False),
+        ("CREDIT_CARD", "3782-822463-10005", True), ("CREDIT_CARD", "3782-822463-10006", False), ("US_SSN", "987-65-4321", False), ("IP_ADDRESS", "192.0.2.1", False),
     ],
 )
 def test_reserved_ranges(spark, category, value, expected):
@@ -166,12 +166,12 @@ def test_whole_run(spark, tmp_path):
         turns = [("customer" if i % 2 == 0 else "agent", f"turn {i} of {s['position']}") for i in range(s["turn_count"])]
         bad = s["position"] % 10 == 0
         for attempt in (1, 2) if bad else (1,):
-            text = conversation(*turns) if not bad or attempt == 2 else conversation(("customer", "mail jane.roe@acme-corp.co.uk"), *turns[1:])
+            text = conversation(*turns) if not bad or attempt == 2 else conversation(("customer", "mail tom.reed@northwindow.io"), *turns[1:])
             rows.append((s["position"], attempt, "generator", text, "stop", "m", None))
             rows.append((s["position"], attempt, "judge", '{"criteria":{"x":0.9},"justification":"ok"}', "stop", "j", None))
     responses = spark.createDataFrame(rows, "position long, attempt int, role string, text string, stop_reason string, model_id string, error_kind string")
     m = run.execute(spark, config, 5, responses, document, {"rubric_id": "r", "weights": {"x": 1.0}}, "run-1", str(tmp_path))
-    assert m["outcome"] == "completed" and m["records_written"] == 40 and m["discards"] == {"privacy_finding": 4}
+    assert m["outcome"] == "completed" and m["records_written"] == 40 and m["discards"] == [{"reason": "privacy_finding", "count": 4}]
     assert manifest.manifest_problems(m) == []
     back = corpus.read_corpus(spark, str(tmp_path / "run-1"))
     assert back.count() == 40 and validator.contract_findings(back).count() == 0
@@ -181,7 +181,7 @@ def test_whole_run(spark, tmp_path):
 
 def test_cli_schema(capsys):
     assert cli.main(["schema"]) == 0
-    assert json.loads(capsys.readouterr().out)["title"] == "Record"
+    assert json.loads(capsys.readouterr().out)["title"] == "TicketRecord"
 
 
 def test_versions():
