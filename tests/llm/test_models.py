@@ -1,5 +1,6 @@
 """Toxicity, decontamination, token counts and the pipeline."""
 
+import bisect
 import os
 import random
 import zlib
@@ -164,14 +165,40 @@ def test_basis_decides_no_leak(spark):
 P = pytest.importorskip("public_tokenizers")
 
 
+def library_count(path, text):
+    """Tokens of one text by the vocabulary's own library, called here, not by the operator."""
+    if path.endswith(".model"):
+        import sentencepiece
+
+        return len(sentencepiece.SentencePieceProcessor(model_file=path).encode(text))
+    import tokenizers
+
+    return len(tokenizers.Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids)
+
+
+def test_token_query(spark, tmp_path):
+    """All columns of the query, against the library; a text at the limit is not over it."""
+    from loomspan.llm import registry
+
+    path = P.path("piece_bpe_32k.model")
+    n = bisect.bisect_right(range(6000), 4096, key=lambda k: library_count(path, "x," * k))
+    longest, over = "x," * (n - 1), "x," * n
+    assert 4094 <= library_count(path, longest) <= 4096 < library_count(path, over)
+    texts = [None, "", "é hello", longest, over, over]
+    spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = registry.QUERIES["op10_token_counts"](spark, str(tmp_path)).select("doc_id", "n_bytes", "n_tokens", "over_limit").collect()
+    counts = [library_count(path, t or "") for t in texts]
+    want = [(i // 2, len((t or "").encode()), n, n > 4096) for i, (t, n) in enumerate(zip(texts, counts))]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 @pytest.mark.parametrize("name", ["piece_bpe_32k.model", "byte_bpe_50k.json"])
 def test_token_counts_and_cache(spark, tmp_path, name):
     texts = [None, "", "hello world", "hello world", "<s> </s> <unk>", "é \n\t" * 50, "x" * 5000, "<|endoftext|>"]
     df = spark.createDataFrame(list(enumerate(texts)) + [(None, "null id")], "doc_id long, text string").withColumn("n_bytes", F.lit("z"))
     path, cache = P.path(name), str(tmp_path / "cache")
     got = tokens.token_counts(df, path, cache).collect()
-    count = tokens._encoder(path)
-    want = {i: count([t or ""])[0] for i, t in enumerate(texts)}
+    want = {i: library_count(path, t or "") for i, t in enumerate(texts)}
     assert {r["doc_id"]: r["n_tokens"] for r in got if r["doc_id"] is not None} == want and len(got) == 9
     assert all(r["n_bytes"] == len((texts[r["doc_id"]] or "").encode()) for r in got if r["doc_id"] is not None)
     kept = spark.read.parquet(cache)
