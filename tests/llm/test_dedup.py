@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,6 +143,36 @@ def test_rtree_finds_all():
                 assert (i, j) in found
 
 
+def test_nearest_pairs_first_then_all():
+    r = np.random.default_rng(8)
+    base = r.integers(0, 1 << 63, 120).astype(np.uint64)
+    sets = [np.unique(np.concatenate([r.choice(base, 112, replace=False), r.integers(0, 1 << 63, 8).astype(np.uint64)])) for _ in range(60)]
+    k, n = np.arange(60), [len(s) for s in sets]
+    zeros = pa.array(np.zeros(60, np.int32))
+    table = pa.table({"cls": pa.array(k), "n": pa.array(n, pa.int32()), "comp": pa.array(k), "block": zeros, "piece": zeros})
+    vectors = pa.table({"vcls": pa.array(k), "vec": pa.array([shingles.count_vector(s).tobytes() for s in sets], pa.binary())})
+    near, every = (set(zip(*shingles._rtree_join(table, vectors, first).to_pydict().values())) for first in (True, False))
+    linked = {(i, j) for i in range(60) for j in range(i) if 7 * len(np.intersect1d(sets[i], sets[j])) >= 3 * (n[i] + n[j])}
+    assert {(j, i) for i, j in linked} <= every
+    assert near < every and len(near) <= 60 * shingles.NEAREST
+    assert {i for p in near for i in p} == {i for p in every for i in p}
+
+
+def test_near_duplicates_of_a_large_group(spark, monkeypatch):
+    monkeypatch.setattr(shingles, "HOT", 2)
+    monkeypatch.setattr(shingles, "BLOCK", 16)
+    r = random.Random(9)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(80):
+        words = list(base)
+        for _ in range(r.randint(0, 3)):
+            words[r.randrange(60)] = f"x{r.randrange(1000)}"
+        rows.append((i, " ".join(words)))
+    got = shingles.near_duplicates(frame(spark, rows)).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == groups(rows)
+
+
 def test_components(spark):
     links = [(5, 4), (4, 3), (3, 2), (9, 8), (7, 9), (1, 1)] + [(i, i + 1) for i in range(20, 45)]
     got = {r["node"]: r["root"] for r in components.connected(spark.createDataFrame(links, "u long, v long")).collect()}
