@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspan.llm import common, leaks, lines, mixing, pii, preference, quality, shingles, substrings, tokens, toxicity
+from loomspan.llm import common, leaks, lines, mixing, pii, preference, quality, resampling, shingles, substrings, tokens, toxicity
 from loomspan.llm.sql import ORACLES  # noqa: F401
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -68,4 +68,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > MAX_TOKENS)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_quality_rules, op3_decontamination, op4_jaccard_rtree, op5_preference_format, op6_line_dedup, op7_suffix_array_dedup, op8_toxicity, op9_mixing, op10_token_counts)}
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return resampling.resample(common.documents(spark, sf_dir), target, percent=10, least_words=20, seed=2024)
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_quality_rules, op3_decontamination, op4_jaccard_rtree, op5_preference_format, op6_line_dedup, op7_suffix_array_dedup, op8_toxicity, op9_mixing, op10_token_counts, op11_resampling)}

@@ -114,3 +114,26 @@ o AS (SELECT conv_id, string_agg(turn, '' ORDER BY k) AS prompt FROM z WHERE sid
 SELECT p.conv_id, p.p::BIGINT AS prompt_turns, coalesce(prompt, '') AS prompt, coalesce(a.done, '') AS chosen_completion, coalesce(a.mask, '') AS chosen_mask,
   CASE WHEN paired THEN coalesce(b.done, '') END AS rejected_completion, CASE WHEN paired THEN coalesce(b.mask, '') END AS rejected_mask
 FROM p LEFT JOIN o USING (conv_id) LEFT JOIN c a ON a.conv_id = p.conv_id AND a.side = 'c' LEFT JOIN c b ON b.conv_id = p.conv_id AND b.side = 'r'"""
+
+
+# crc32 byte by byte with the table of its reversed polynomial, once per different word
+ORACLES["op11_resampling"] = r"""
+WITH tab AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM (SELECT unnest(range(0, 256))::BIGINT AS i))),
+d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+o AS (SELECT rid, w, count(*) AS n FROM (SELECT rid, unnest(ws) AS w FROM d) GROUP BY rid, w),
+q AS (SELECT unnest(ws) AS w FROM b),
+k AS (SELECT w, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, length(h) + 1, 2), lambda i: ('0x' || substr(h, i, 2))::BIGINT)),
+        lambda c, y: xor(t[(xor(c, y) & 255) + 1], c >> 8))) % 10000 AS bucket
+      FROM (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM o UNION SELECT w FROM q)), tab),
+s AS (SELECT bucket, sum(n)::BIGINT AS s FROM o JOIN k USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM q JOIN k USING (w) GROUP BY bucket),
+g AS (SELECT bucket, floor(1000 * ln(((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE) / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain
+      FROM s FULL JOIN t USING (bucket)),
+w AS (SELECT rid, sum(n * gain)::BIGINT AS weight FROM o JOIN k USING (w) JOIN g USING (bucket) GROUP BY rid),
+f AS (SELECT rid, doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+        coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5) / 4294967296.0)))::BIGINT AS score
+      FROM d LEFT JOIN w USING (rid)),
+r AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, rid) AS place, count(*) OVER () AS n FROM f WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM f LEFT JOIN r USING (rid)"""
