@@ -7,11 +7,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspan.llm import common, leaks, lines, mixing, pii, preference, quality, resampling, shingles, substrings, tokens, toxicity
+from loomspan.llm import bpe, common, leaks, lines, mixing, pii, preference, quality, resampling, shingles, substrings, tokens, toxicity
 from loomspan.llm.sql import ORACLES  # noqa: F401
 
 TOKENIZER = "piece_bpe_32k.model"
 MAX_TOKENS = 4096
+BYTE_BPE = "byte_bpe_50k.json"
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,4 +74,11 @@ def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(common.documents(spark, sf_dir), target, percent=10, least_words=20, seed=2024)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_quality_rules, op3_decontamination, op4_jaccard_rtree, op5_preference_format, op6_line_dedup, op7_suffix_array_dedup, op8_toxicity, op9_mixing, op10_token_counts, op11_resampling)}
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path(BYTE_BPE)
+    return bpe.digests(bpe.decode(bpe.encode(common.documents(spark, sf_dir), path), path))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_quality_rules, op3_decontamination, op4_jaccard_rtree, op5_preference_format, op6_line_dedup, op7_suffix_array_dedup, op8_toxicity, op9_mixing, op10_token_counts, op11_resampling, op12_bpe)}
