@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspan.llm import bpe, common, leaks, lines, mixing, pii, preference, quality, resampling, shingles, substrings, tokens, toxicity
+from loomspan.llm import bpe, common, leaks, lines, mixing, pii, preference, quality, repair, resampling, shingles, substrings, tokens, toxicity
 from loomspan.llm.sql import ORACLES  # noqa: F401
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -81,4 +81,9 @@ def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(common.documents(spark, sf_dir), path), path))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_quality_rules, op3_decontamination, op4_jaccard_rtree, op5_preference_format, op6_line_dedup, op7_suffix_array_dedup, op8_toxicity, op9_mixing, op10_token_counts, op11_resampling, op12_bpe)}
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return repair.digests(repair.repair(repair.damage(turns)), turns)
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_quality_rules, op3_decontamination, op4_jaccard_rtree, op5_preference_format, op6_line_dedup, op7_suffix_array_dedup, op8_toxicity, op9_mixing, op10_token_counts, op11_resampling, op12_bpe, op13_repair)}

@@ -137,3 +137,43 @@ f AS (SELECT rid, doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0)::BI
       FROM d LEFT JOIN w USING (rid)),
 r AS (SELECT rid, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, rid) AS place, count(*) OVER () AS n FROM f WHERE n_features >= 20)
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM f LEFT JOIN r USING (rid)"""
+
+# costs to the end from the last turn back, then the edits from the first turn on, one turn or insertion a step
+ORACLES["op13_repair"] = r"""
+WITH RECURSIVE tab AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+    lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM (SELECT unnest(range(0, 256))::BIGINT AS i))),
+r AS (SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))) AS h FROM conversations),
+m AS (SELECT r.*, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, length(h) + 1, 2), lambda i: ('0x' || substr(h, i, 2))::BIGINT)),
+        lambda c, y: xor(t[(xor(c, y) & 255) + 1], c >> 8))) % 20 AS m FROM r, tab),
+d AS (SELECT c, turn, CASE WHEN m = 4 THEN 'user' ELSE role END AS role, CASE m WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(0, CASE WHEN m = 3 THEN 2 ELSE 1 END)) AS copy FROM m WHERE m <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS k, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS ink FROM d),
+f AS (SELECT *, substr(role, 1, 1) AS x, CASE WHEN ink = '' THEN 'b' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY k) > 1 THEN 'd' WHEN right(ink, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault FROM o),
+g AS (SELECT c, k, x, role, text, CASE WHEN fault IN ('b', 'd') THEN 1000000000 ELSE 0 END AS no, CASE WHEN fault = 't' THEN 3 ELSE 0 END AS cut FROM f),
+n AS (SELECT c, count(*) AS n FROM g GROUP BY c),
+v AS (SELECT c, n + 1 AS i, [0, 6, 3, 0]::BIGINT[] AS v FROM n
+      UNION ALL
+      SELECT c, i, [least(b[1], u + 3), least(b[2], u + 3), u, a] FROM (
+        SELECT c, i, b, least(b[3], b[4] + 3) AS u, least(b[4], b[3] + 3) AS a FROM (
+          SELECT v.c, k AS i, [least(v[1] + 4, no + v[3] + 3 + cut, CASE x WHEN 's' THEN no + v[2] + cut WHEN 'u' THEN no + v[3] + cut ELSE 1000000000 END),
+            least(v[2] + 4, no + v[3] + 3 + cut, CASE x WHEN 'u' THEN no + v[3] + cut ELSE 1000000000 END),
+            least(v[3] + 4, no + v[4] + 3 + cut, CASE x WHEN 'a' THEN no + v[4] + cut ELSE 1000000000 END),
+            least(v[4] + 4, no + v[3] + 3 + cut, CASE x WHEN 'u' THEN no + v[3] + cut ELSE 1000000000 END)] AS b
+          FROM v JOIN g ON v.c = g.c AND g.k = v.i - 1))),
+p AS (SELECT v.c, v.i, n, v.v AS here, w.v AS behind, x, role, text, cut FROM v JOIN n ON v.c = n.c LEFT JOIN v w ON v.c = w.c AND w.i = v.i + 1 LEFT JOIN g ON g.c = v.c AND g.k = v.i),
+e AS (SELECT c, 1::BIGINT AS i, 0 AS s, 0 AS step, '' AS audit, '' AS done, 0::BIGINT AS cost FROM n
+      UNION ALL
+      SELECT c, i + CASE WHEN edit = 'I' THEN 0 ELSE 1 END, CASE edit WHEN 'D' THEN s WHEN 'K' THEN kept ELSE made END, step + 1, audit || edit,
+        done || CASE edit WHEN 'D' THEN '' WHEN 'K' THEN chr(10) || role || ':' || text ELSE chr(10) || CASE WHEN made = 2 THEN 'user:' ELSE 'assistant:' END || CASE WHEN edit = 'R' THEN text ELSE '' END END,
+        cost + CASE edit WHEN 'D' THEN 4 WHEN 'I' THEN 3 WHEN 'K' THEN cut ELSE 3 + cut END
+      FROM (SELECT *, CASE WHEN i <= n AND behind[s + 1] + 4 = here[s + 1] THEN 'D' WHEN here[made + 1] + 3 = here[s + 1] THEN 'I' WHEN behind[kept + 1] + cut = here[s + 1] THEN 'K' ELSE 'R' END AS edit
+        FROM (SELECT e.*, n, here, behind, role, text, cut, CASE s WHEN 2 THEN 3 ELSE 2 END AS made, CASE WHEN s = 0 AND x = 's' THEN 1 WHEN s <> 2 AND x = 'u' THEN 2 WHEN s = 2 AND x = 'a' THEN 3 END AS kept
+              FROM e JOIN p ON e.c = p.c AND e.i = p.i WHERE e.i <= n OR s IN (1, 2)))),
+z AS (SELECT c, arg_max(audit, step) AS audit, arg_max(done, step) AS done, arg_max(cost, step) AS cost FROM e GROUP BY c),
+q AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+        count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM (SELECT *, lag(x) OVER (PARTITION BY c ORDER BY k) || x AS pair FROM f) GROUP BY c)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(substr(coalesce(done, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT c, conv_id FROM r) LEFT JOIN z USING (c) LEFT JOIN q USING (c)"""
