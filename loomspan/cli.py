@@ -1,4 +1,5 @@
-"""Command line: validate-manifest, privacy scan, sample-for-review, calibrate, schema, check."""
+"""Command line: generate, validate-manifest, config-from-manifest, privacy-scan,
+privacy-approve, sample-for-review, calibrate, schema, check."""
 
 from __future__ import annotations
 
@@ -15,6 +16,14 @@ def main(argv: list[str] | None = None) -> int:
         s = sub.add_parser(name)
         for a in args:
             s.add_argument(a, **({"type": int} if a in ("n", "seed") else {"type": float} if a == "threshold" else {}))
+    g = sub.add_parser("generate", help="a run over responses, as JSON Lines; the exit status tells how it went")
+    for name in ("config", "responses", "document", "rubric", "out"):
+        g.add_argument(f"--{name}", required=True)
+    g.add_argument("--seed", type=int, required=True)
+    g.add_argument("--approvals")
+    g.add_argument("--run-id", help="a new one is drawn where none is given")
+    g.add_argument("--resume", action="store_true", help="take the run up that is staged, --run-id or the only one")
+    g.add_argument("--json", action="store_true", help="print the report as JSON")
     a = p.parse_args(argv)
     from loomspan import schema
 
@@ -35,6 +44,8 @@ def main(argv: list[str] | None = None) -> int:
     from loomspan.sources import corpus
 
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    if a.command == "generate":
+        return generate(spark, a)
     if a.command == "validate-manifest":
         import os
 
@@ -74,5 +85,31 @@ def main(argv: list[str] | None = None) -> int:
     return int(bool(bad or report))
 
 
+def generate(spark, a: argparse.Namespace) -> int:
+    """A run from files to its report: 0 completed, 1 failed, 2 refused, 3 stopped."""
+    from loomspan import schema
+    from loomspan.functions.text import new_run_id
+    from loomspan.plans import outcome, report, segments
+    from loomspan.plans.checkpoint import CheckpointError
+    from loomspan.sources import corpus, store
+
+    try:
+        config, document, rubric = corpus.load_config(a.config), corpus.domain_document(a.document), corpus.rubric(a.rubric)
+        problems = outcome.refuse(spark)
+        run_id = a.run_id or (segments.only_staged(spark, a.out) if a.resume else new_run_id())
+        run = segments.SegmentedRun(spark, config, a.seed, document, rubric, run_id, a.out, approvals=corpus.read_approvals(spark, a.approvals) if a.approvals else None)
+        if outcome.finished(run.store, a.out, run_id):
+            problems.append(f"run {run_id} is published already")
+        if problems:
+            raise corpus.ConfigError(problems)
+        responses = spark.read.schema(segments.RESPONSES).option("mode", "FAILFAST").json(a.responses)
+        found = segments.run_table(run, responses, config["checkpoint_interval"], a.resume)
+    except (corpus.ConfigError, CheckpointError, store.AlreadyThere) as e:
+        print(f"refused: {e}", file=sys.stderr)
+        return schema.RUN_OUTCOMES["refused"]
+    print(json.dumps({k: v for k, v in found.items() if k != "manifest"}, indent=2, sort_keys=True) if a.json else report.as_text(found))
+    return outcome.exit_status(found)
+
+
 if __name__ == "__main__":
     sys.exit(main())

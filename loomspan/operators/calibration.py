@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomspan.operators.metrics import summary
+from loomspan.operators.ranking import average_ranks
 
 
 def gate_agreement(df: DataFrame, threshold: float, judge: str = "judge", human: str = "human") -> DataFrame:
@@ -14,17 +15,10 @@ def gate_agreement(df: DataFrame, threshold: float, judge: str = "judge", human:
     return out.withColumn("rate", F.when(F.col("n") > 0, F.col("agreed") / F.col("n")).otherwise(0.0))
 
 
-def _average_ranks(df: DataFrame, value: str) -> DataFrame:
-    """``value, rank, n`` per different value: equal values share their mean rank."""
-    counted = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    to = F.sum("_n").over(Window.orderBy(value))
-    return counted.select(value, (to - (F.col("_n") - 1) / 2.0).alias(f"{value}_rank"))
-
-
 def spearman(df: DataFrame, judge: str = "judge", human: str = "human") -> DataFrame:
     """Rank correlation with average ranks; null for fewer than three rows or a
     side of one value.  Ranks are made per different value, then joined."""
-    ranked = df.select(judge, human).join(_average_ranks(df, judge), judge).join(_average_ranks(df, human), human)
+    ranked = df.select(judge, human).join(average_ranks(df, judge), judge).join(average_ranks(df, human), human)
     x, y = f"{judge}_rank", f"{human}_rank"
     spread = F.stddev_pop(x) * F.stddev_pop(y)
     stats = ranked.agg(F.count(F.lit(1)).alias("n"), (F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))).alias("r"), F.count_distinct(x).alias("dx"), F.count_distinct(y).alias("dy"))

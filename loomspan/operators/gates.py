@@ -73,9 +73,13 @@ def meets(score: Column | str, threshold: float) -> Column:
     return (F.col(score) if isinstance(score, str) else score) >= F.lit(threshold)
 
 
+#: The columns of a record.
+RECORD = ("schema_version", "record_id", "run_id", "record_index", "source_id", "subdomain", "scenario", "metadata", "turns", "quality", "generation")
+
+
 def violations(record: dict[str, Column] | None = None) -> Column:
     """All violations of the record contract by a row, as an array of names."""
-    c = record or {k: F.col(k) for k in ("schema_version", "record_id", "run_id", "record_index", "source_id", "subdomain", "scenario", "metadata", "turns", "quality", "generation")}
+    c = record or {k: F.col(k) for k in RECORD}
     m, t = c["metadata"], c["turns"]
     empty = lambda x: x.isNull() | (F.length(x) < 1)
     rules = [
@@ -104,19 +108,24 @@ def aware(text: Column | str) -> Column:
     return (F.col(text) if isinstance(text, str) else text).rlike(r"(Z|[+-][0-9]{2}:?[0-9]{2})$")
 
 
-def assemble(df: DataFrame, run_id: str, source_id: str, rubric_id: str) -> DataFrame:
-    """Records from slots joined with accepted candidates and scores."""
+def record_columns(run_id: str, source_id: str, rubric_id: str) -> list[Column]:
+    """A record's columns, of a slot joined with an accepted candidate and its score."""
     turns = F.transform("candidate.turns", lambda t, i: F.struct(i.alias("index"), t["role"].alias("role"), t["content"].alias("content")))
-    return df.select(
+    return [
         F.lit(schema.SCHEMA_VERSION).alias("schema_version"),
         record_id(F.lit(run_id), F.col("position")).alias("record_id"),
         F.lit(run_id).alias("run_id"),
         F.col("position").cast("int").alias("record_index"),
         F.lit(source_id).alias("source_id"),
-        "subdomain",
+        F.col("subdomain"),
         strip("candidate.scenario").alias("scenario"),
         F.struct("category", "priority", "channel", "resolution_status", "created_at", "resolved_at").alias("metadata"),
         turns.alias("turns"),
         F.struct(F.col("score").alias("coherence_score"), F.lit(rubric_id).alias("rubric_id")).alias("quality"),
         F.struct("model_id", "judge_model_id").alias("generation"),
-    )
+    ]
+
+
+def assemble(df: DataFrame, run_id: str, source_id: str, rubric_id: str) -> DataFrame:
+    """Records from slots joined with accepted candidates and scores."""
+    return df.select(*record_columns(run_id, source_id, rubric_id))

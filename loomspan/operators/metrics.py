@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomspan.operators.ranking import upper_median
+
 BUCKET = 0.05
 
 
@@ -36,18 +38,6 @@ def histogram(scores: DataFrame, score: str = "score", bucket: float = BUCKET) -
     return counted.select(F.format_string("%.2f-%.2f", lo, lo + F.lit(bucket)).alias("bucket"), "n")
 
 
-def upper_median(values: DataFrame, value: str, *group: str) -> DataFrame:
-    """The element at place n // 2 of the sorted values, per group.
-
-    Equal values are counted first and places are summed over values, so the sort is
-    over different values only."""
-    v = values.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
-    by = Window.partitionBy(*group)
-    v = v.withColumn("_to", F.sum("_n").over(by.orderBy(value))).withColumn("_all", F.sum("_n").over(by))
-    half = F.floor(F.col("_all") / 2)
-    return v.where((half < F.col("_to")) & (half >= F.col("_to") - F.col("_n"))).select(*group, F.col(value).alias("median"))
-
-
 def summary(scores: DataFrame, score: str = "score") -> DataFrame:
     """Count, different values to four places, least, largest, mean, upper median."""
     agg = scores.agg(F.count(score).alias("n"), F.count_distinct(F.round(score, 4)).alias("n_distinct"), F.min(score).alias("least"), F.max(score).alias("largest"), F.avg(score).alias("mean"))

@@ -1,15 +1,17 @@
 """Detection of personal data in fields: matches, status, masking, approvals.
 
 Detection is one array column per row, made by built-in expressions; matches are
-exploded once.  A custom detector is any function from a text column to an array
-of structs ``category, value, detector``; one that fails must fail its query, so
-that a text is never taken for clean.
+exploded once.  A custom detector is a function from a text column to an array of
+structs ``category, value, detector``, or a finder in Python, over Arrow batches.  An
+expression that fails fails its query; a finder that fails at a text makes that text a
+problem of its own.  Either way a text that was not scanned is never taken for clean.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,29 +83,69 @@ def pattern_detector(text: Column) -> Column:
     return F.concat(*found)
 
 
+GUARDED = f"struct<found:{MATCH},problem:string>"
+Finder = Callable[[str], Iterable[tuple[str, str]]]
+
+
+def guarded(name: str, find: Finder) -> Callable[[Column], Column]:
+    """A detector in Python, ``text -> (category, value) pairs``, over Arrow batches.  An
+    error in one text is that text's ``problem`` and gives no matches; the job goes on."""
+
+    @F.pandas_udf(GUARDED)
+    def look(texts: pd.Series) -> pd.DataFrame:
+        found, problems = [], []
+        for text in texts:
+            try:
+                hits, problem = [{"category": c, "value": v, "detector": name} for c, v in find(text or "")], None
+            except Exception as e:
+                # the kind alone: a message may quote the text
+                hits, problem = [], f"{name}: {type(e).__name__}"
+            found.append(hits)
+            problems.append(problem)
+        return pd.DataFrame({"found": found, "problem": pd.Series(problems, dtype=object)})
+
+    return look
+
+
 class Detectors:
-    """A set of detectors by name; registering adds to it."""
+    """A set of detectors by name: expressions, which see a column, and finders in
+    Python, which see a text and may fail at it.  Registering adds to the set."""
 
     def __init__(self, **detectors: Detector):
         self._by_name = detectors or {"pattern": pattern_detector}
+        self._finders: dict[str, Callable[[Column], Column]] = {}
 
-    def register(self, name: str, detector: Detector) -> None:
-        if name in self._by_name:
+    def register(self, name: str, detector: Detector | None = None, *, finder: Finder | None = None) -> None:
+        if name in self.names:
             raise ValueError(f"detector {name!r} is registered already")
-        self._by_name[name] = detector
+        if (detector is None) == (finder is None):
+            raise ValueError("a detector is an expression or a finder")
+        if detector is not None:
+            self._by_name[name] = detector
+        else:
+            self._finders[name] = guarded(name, finder)
 
     @property
     def names(self) -> list[str]:
-        return list(self._by_name)
-
-    def scan(self, text: Column) -> Column:
-        return F.concat(*(d(text) for d in self._by_name.values()))
+        return [*self._by_name, *self._finders]
+
+    def look(self, fields: DataFrame, text: str = "text") -> DataFrame:
+        """Adds ``found``, the matches of all detectors, and ``problem``, which tells why
+        a text was not scanned whole; then ``found`` is what the others saw."""
+        clean = F.coalesce(F.col(text), F.lit(""))
+        seen = fields
+        for i, look in enumerate(self._finders.values()):
+            seen = seen.withColumn(f"_look{i}", look(clean))
+        looks = [F.col(f"_look{i}") for i in range(len(self._finders))]
+        found = F.concat(*(d(clean) for d in self._by_name.values()), *(x["found"] for x in looks))
+        problem = F.coalesce(*(x["problem"] for x in looks), F.lit(None).cast("string"))
+        return seen.withColumn("found", found).withColumn("problem", problem).drop(*(f"_look{i}" for i in range(len(looks))))
 
     def missed(self, spark: SparkSession) -> list[str]:
-        """Blocking categories whose canary is not found."""
+        """Blocking categories whose canary is not found; an error is a miss."""
         rows = spark.createDataFrame(list(CANARIES.items()), "category string, text string")
-        hit = rows.withColumn("found", F.exists(self.scan(F.col("text")), lambda m: m["category"] == F.col("category")))
-        return sorted(r["category"] for r in hit.where(~F.col("found")).collect())
+        hit = self.look(rows).withColumn("hit", F.exists("found", lambda m: m["category"] == F.col("category")) & F.col("problem").isNull())
+        return sorted(r["category"] for r in hit.where(~F.col("hit")).collect())
 
 
 def record_fields(records: DataFrame) -> DataFrame:
@@ -113,8 +155,10 @@ def record_fields(records: DataFrame) -> DataFrame:
 
 
 def matches(fields: DataFrame, detectors: Detectors | None = None, *keys: str) -> DataFrame:
-    found = (detectors or Detectors()).scan(F.coalesce("text", F.lit("")))
-    return fields.select(*keys, F.explode(found).alias("m")).select(*keys, "m.category", "m.value", "m.detector")
+    """A row per match.  Texts that a detector failed at give none here: they are
+    ``failed_fields`` of what ``Detectors.look`` gives."""
+    found = (detectors or Detectors()).look(fields)
+    return found.select(*keys, F.explode("found").alias("m")).select(*keys, "m.category", "m.value", "m.detector")
 
 
 def reserved(category: Column, value: Column) -> Column:
@@ -135,7 +179,7 @@ def covered_types() -> list[str]:
     return sorted({*schema.BLOCKING, *schema.ADVISORY})
 
 
-def failed_fields(fields: DataFrame, error: str = "detector_problem") -> DataFrame:
+def failed_fields(fields: DataFrame, error: str = "problem") -> DataFrame:
     """Fields whose detector said that it failed, in the column ``error``: their record's
     reason is ``detector_error``, so that a text that was not scanned is never clean."""
     return fields.where(F.col(error).isNotNull()).select("record_id", "field", F.lit("detector_error").alias("reason")).distinct()
@@ -155,11 +199,13 @@ def approve(category: str, value: str, reason: str, approved_by: str, approved_o
     return {"fingerprint": fingerprint, "category": category, "reason": reason.strip(), "approved_by": approved_by.strip(), "approved_on": approved_on}
 
 
-def findings(found: DataFrame, approvals: DataFrame | None = None) -> DataFrame:
+def findings(found: DataFrame, approvals: DataFrame | None = None, fingerprint: Callable[[Column, Column], Column] = value_fingerprint) -> DataFrame:
     """Matches with their status and masked value; the value itself is dropped.
 
-    Approvals are a table of ``fingerprint``; Spark broadcasts it while it is small."""
-    f = found.withColumn("fingerprint", value_fingerprint("category", "value"))
+    Approvals are a table of ``fingerprint``; Spark broadcasts it while it is small.  They
+    hold what ``fingerprint`` makes of category and value: a store kept under another
+    scheme, say a keyed one, is read by handing that in."""
+    f = found.withColumn("fingerprint", fingerprint(F.col("category"), F.col("value")))
     if approvals is not None:
         ok = approvals.select(F.col("fingerprint").alias("_f")).distinct().withColumn("_ok", F.lit(True))
         f = f.join(ok, F.col("fingerprint") == F.col("_f"), "left").drop("_f")

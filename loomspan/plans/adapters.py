@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -42,9 +42,13 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def reason() -> Column:
+    """Why an event, taken as an attempt, was rejected; null if it was not."""
+    return F.when(F.col("event_type") == "error", "structural_invalid").when(F.col("event_type") == "signup", "privacy_finding")
+
+
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as attempts at slots: a slot per user, numbered by event."""
     e = table(spark, sf_dir, "events")
-    reason = F.when(F.col("event_type") == "error", "structural_invalid").when(F.col("event_type") == "signup", "privacy_finding")
     n = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))
-    return e.select("event_id", F.col("user_id").alias("slot"), n.alias("attempt"), reason.alias("reason"), F.col("event_type").alias("model_id"), reason.isNull().alias("accepted"))
+    return e.select("event_id", F.col("user_id").alias("slot"), n.alias("attempt"), reason().alias("reason"), F.col("event_type").alias("model_id"), reason().isNull().alias("accepted"))

@@ -10,8 +10,8 @@ from loomspan import schema
 from loomspan.functions import text as tx
 from loomspan.operators import calibration, composition, duplicates, gates, manifest, metrics, planning, privacy, validator
 from loomspan.plans import adapters as ad
-from loomspan.plans import checkpoint
-from loomspan.plans.oracles import ORACLES  # noqa: F401
+from loomspan.plans import checkpoint, run_queries
+from loomspan.plans.oracles import ORACLES
 
 #: What the order adapter's corpus was asked to be.
 REQUESTED = {
@@ -435,3 +435,7 @@ def detector_errors(spark, d):
     """Texts too long for a detector are reported, not taken for clean."""
     f = ad.turns(spark, d).select(F.col("conv_id").alias("record_id"), F.concat(F.lit("turns["), F.col("turn"), F.lit("].content")).alias("field"), F.when(F.length("text") > 200, "too long").alias("detector_problem"))
     return privacy.failed_fields(f)
+
+
+QUERIES |= run_queries.QUERIES
+ORACLES |= run_queries.ORACLES

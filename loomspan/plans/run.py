@@ -9,15 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomspan.functions.text import content_fingerprint, record_id
+from loomspan.functions.text import content_fingerprint
 from loomspan.operators import composition, gates, manifest, metrics, planning, privacy
 from loomspan.sources import corpus
 
 
-def attempts(slots: DataFrame, responses: DataFrame, weights: dict[str, float], config: dict, run_id: str, source_id: str, rubric_id: str, approvals: DataFrame | None = None) -> DataFrame:
+def attempts(
+    slots: DataFrame, responses: DataFrame, weights: dict[str, float], config: dict, run_id: str, source_id: str, rubric_id: str, approvals: DataFrame | None = None,
+    detectors: privacy.Detectors | None = None, keep_findings: bool = False,
+) -> DataFrame:
     """Every attempt with its record if accepted, or the one reason it was not.
 
-    Gates in order: model refusal, structure, privacy, judge, coherence."""
+    Gates in order: model refusal, structure, detector error, privacy, judge, coherence.
+    ``keep_findings`` adds the candidate and its findings, masked."""
     gen = responses.where("role = 'generator'").drop("role")
     judge = responses.where("role = 'judge'").select("position", "attempt", F.col("text").alias("judge_text"), F.col("model_id").alias("judge_model_id"))
     a = slots.join(gen, "position").join(judge, ["position", "attempt"], "left").withColumn("candidate", gates.parse_candidate("text"))
@@ -25,25 +29,28 @@ def attempts(slots: DataFrame, responses: DataFrame, weights: dict[str, float],
     a = a.withColumn("detail", shape).withColumn("v", gates.verdict("judge_text", weights)).withColumn("score", F.col("v.score"))
     key = F.concat_ws("/", "position", "attempt")
     fields = a.where("detail is null").select(key.alias("record_id"), F.col("candidate.scenario").alias("scenario"), F.col("candidate.turns").alias("turns"))
-    found = privacy.findings(privacy.matches(privacy.record_fields(fields), None, "record_id", "field"), approvals)
-    blocked = privacy.blocking(found).select(F.col("record_id").alias("_b")).distinct()
-    a = a.join(blocked, key == F.col("_b"), "left")
+    # one row per candidate with all that was found in it, and whether a detector failed
+    looked = (detectors or privacy.Detectors()).look(privacy.record_fields(fields))
+    seen = looked.select("record_id", "field", "problem", F.explode_outer("found").alias("m")).select("record_id", "field", "problem", "m.category", "m.value", "m.detector")
+    status = privacy.findings(seen, approvals)
+    finding = F.when(F.col("category").isNotNull(), F.struct("field", "category", "detector", "status", "masked"))
+    per = status.groupBy(F.col("record_id").alias("_k")).agg(F.max("problem").alias("_problem"), F.max((F.col("category").isNotNull() & (F.col("status") == "blocking")).cast("int")).alias("_b"), F.collect_list(finding).alias("findings"))
+    a = a.join(per.select("_k", "_problem", (F.col("_b") == 1).alias("_b"), F.array_sort("findings").alias("findings")), key == F.col("_k"), "left")
     reason = F.coalesce(
         F.when(F.col("error_kind") == "refusal", F.lit("model_refusal")),
         F.when(F.col("detail") == "turn_count", F.lit("turn_count_out_of_range")),
         F.when(F.col("detail").isNotNull(), F.lit("structural_invalid")),
-        F.when(F.col("_b").isNotNull(), F.lit("privacy_finding")),
+        F.when(F.col("_problem").isNotNull(), F.lit("detector_error")),
+        F.when(F.col("_b"), F.lit("privacy_finding")),
         F.when(F.col("v.problem").isNotNull() | F.col("judge_text").isNull(), F.lit("unjudgeable")),
         F.when(~gates.meets("score", config["coherence_threshold"]), F.lit("coherence_below_threshold")),
     )
-    a = a.withColumn("reason", reason)
-    record = gates.assemble(a.where("reason is null"), run_id, source_id, rubric_id)
-    record = record.withColumn("_bad", gates.violations())
-    ok = record.select(F.struct(*[c for c in record.columns if c != "_bad"]).alias("record"), F.col("_bad"), "record_index")
-    out = a.select("position", "attempt", "reason", "detail", "model_id", "score").withColumn("k", record_id(F.lit(run_id), F.col("position")))
-    joined = out.join(ok.select(F.col("record.record_id").alias("k"), F.col("record.quality.coherence_score").alias("score"), "record", "_bad"), ["k", "score"], "left").drop("k")
-    bad = F.col("reason").isNull() & (F.size("_bad") > 0)
-    return joined.withColumn("reason", F.when(bad, F.lit("schema_invalid")).otherwise(F.col("reason"))).withColumn("accepted", F.col("reason").isNull()).drop("_bad")
+    record = F.struct(*gates.record_columns(run_id, source_id, rubric_id))
+    a = a.withColumn("reason", reason).withColumn("record", F.when(F.col("reason").isNull(), record))
+    bad = F.col("reason").isNull() & (F.size(gates.violations({c: F.col("record")[c] for c in gates.RECORD})) > 0)
+    a = a.withColumn("reason", F.when(bad, F.lit("schema_invalid")).otherwise(F.col("reason"))).withColumn("accepted", F.col("reason").isNull())
+    more = ["candidate", "findings"] if keep_findings else []
+    return a.select("position", "attempt", "reason", F.coalesce("detail", "_problem").alias("detail"), "model_id", "score", F.when(F.col("accepted"), F.col("record")).alias("record"), "accepted", *more)
 
 
 def execute(spark: SparkSession, config: dict, seed: int, responses: DataFrame, document: dict, rubric: dict, run_id: str, out_dir: str) -> dict:
