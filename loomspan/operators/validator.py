@@ -10,7 +10,7 @@ from loomspan import schema
 from loomspan.functions.text import squeezed_fingerprint
 from loomspan.operators import gates
 
-#: Ids that a group of duplicates lists.
+#: Ids that a group of duplicates lists; ``duplicate_members`` has them all, as rows.
 MOST_LISTED = 100
 
 
@@ -58,6 +58,13 @@ def duplicate_groups(records: DataFrame) -> DataFrame:
     return per.join(listed, "fingerprint").select("fingerprint", F.col("first.record_id").alias("kept"), "members", "n")
 
 
+def duplicate_members(records: DataFrame) -> DataFrame:
+    """``fingerprint, kept, record_id``: every member of every group, however large."""
+    fp = records.select(squeezed_fingerprint("turns").alias("fingerprint"), F.struct("record_index", "record_id").alias("r"))
+    per = fp.groupBy("fingerprint").agg(F.min("r").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    return fp.join(per, "fingerprint").select("fingerprint", F.col("first.record_id").alias("kept"), F.col("r.record_id").alias("record_id"))
+
+
 def contract_findings(records: DataFrame) -> DataFrame:
     """``record_id, gate, finding``: a row per violation."""
     return records.select("record_id", F.lit("contract").alias("gate"), F.explode(gates.violations()).alias("finding"))

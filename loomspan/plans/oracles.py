@@ -60,6 +60,13 @@ _MASKED = """CASE WHEN category = 'EMAIL' THEN repeat('•', least(length(string
   ELSE '<' || length(value) || ' chars: ' || length(dg) || 'd' || CASE WHEN length(value) > length(dg) THEN ' ' || (length(value) - length(dg)) || 'o' ELSE '' END || '>' END"""
 _FOUND = f"WITH {_found('documents', 'doc_id')}, f AS (SELECT *, {_STATUS} AS status, regexp_replace(value, '[^0-9]', '', 'g') AS dg FROM m)"
 
+_VIOLATIONS = f"""{_TURNS}, x AS (SELECT *, row_number() OVER w - 1 AS k, lag(role) OVER w AS before FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+        r AS (SELECT conv_id, count(*) < 2 AS a, bool_or(k <> turn) AS b, bool_or(role NOT IN ('customer', 'agent')) AS c, min_by(role, k) <> 'customer' AS d,
+          coalesce(bool_or(role = before), false) AS e, bool_or({_STRIPPED} = '') AS f FROM x GROUP BY conv_id),
+        viol AS (SELECT conv_id::INT AS conv_id, unnest(list_filter([CASE WHEN a THEN 'too_few_turns' END, CASE WHEN b THEN 'turn_index' END, CASE WHEN c THEN 'role' END,
+          CASE WHEN d THEN 'first_speaker' END, CASE WHEN e THEN 'alternation' END, CASE WHEN f THEN 'blank_turn' END, CASE WHEN conv_id % 2 = 1 THEN 'resolved_at_missing' END,
+          CASE WHEN conv_id > 80 THEN 'coherence_score' END], lambda v: v IS NOT NULL)) AS violation FROM r)"""
+
 ORACLES: dict[str, str] = {
     "composition_achieved": f"WITH {_META} SELECT * FROM have",
     "composition_grouping_sets": f"WITH {_META} SELECT dimension, member, n FROM have",
@@ -73,14 +80,15 @@ ORACLES: dict[str, str] = {
         SELECT w.dimension, w.member, round((a.share - proportion::DOUBLE) * 100, 4) AS apportionment_pp, round((h.share - a.share) * 100, 4) AS run_pp
         FROM want w JOIN asg a ON w.dimension = a.dimension AND w.member = a.member JOIN have h ON w.dimension = h.dimension AND w.member = h.member""",
     "apportion_largest_remainder": f"WITH {_META}, {_WANT}, total AS (SELECT count(*) AS total FROM meta), {_APPORTION} SELECT * FROM counts",
-    "slot_pool_assignment": f"""WITH {_WANT}, total AS (SELECT 5000 AS total), {_APPORTION},
+    "slot_pool_assignment": f"""WITH {_WANT}, total AS (SELECT count(*) AS total FROM orders), {_APPORTION},
         sp AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY dimension ORDER BY member ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS lo FROM counts),
         pool AS (SELECT dimension, member, unnest(range(lo, (lo + n)::BIGINT)) AS item FROM sp)
         SELECT dimension, row_number() OVER (PARTITION BY dimension ORDER BY {_key("'7'", "'pool'", "dimension", "item::VARCHAR")}, item) - 1 AS position, member FROM pool""",
-    "slot_plan": f"""SELECT range AS position, ['billing', 'login', 'returns'][{_key("'7'", "range::VARCHAR", "'subdomain'")} % 3 + 1] AS subdomain,
-        ({_key("'7'", "range::VARCHAR", "'turns'")} % 9 + 4)::INT AS turn_count,
-        epoch(TIMESTAMP '2026-01-01')::BIGINT - 180 * 86400 + {_key("'7'", "range::VARCHAR", "'created'")} % (180 * 86400) AS created_s,
-        {_key("'7'", "range::VARCHAR", "'resolution'")} % (14 * 86400 - 3600 + 1) + 3600 AS resolution_s FROM range(5000)""",
+    "slot_plan": f"""WITH s AS (SELECT list(DISTINCT c_mktsegment ORDER BY c_mktsegment) AS names FROM customer), r AS (SELECT unnest(range((SELECT count(*) FROM orders))) AS p)
+        SELECT p AS position, names[{_key("'7'", "p::VARCHAR", "'subdomain'")} % len(names) + 1] AS subdomain,
+        ({_key("'7'", "p::VARCHAR", "'turns'")} % 9 + 4)::INT AS turn_count,
+        epoch(TIMESTAMP '2026-01-01')::BIGINT - 180 * 86400 + {_key("'7'", "p::VARCHAR", "'created'")} % (180 * 86400) AS created_s,
+        {_key("'7'", "p::VARCHAR", "'resolution'")} % (14 * 86400 - 3600 + 1) + 3600 AS resolution_s FROM r, s""",
     "seeded_sample": f"SELECT doc_id, source FROM documents ORDER BY {_key(chr(39) + '7' + chr(39), chr(39) + 'sample' + chr(39), 'doc_id::VARCHAR')}, doc_id LIMIT 25",
     "record_ids_uuid5": """WITH h AS (SELECT o_orderkey, sha1(unhex('6f6cf1ee6a5f5f2a9c1e7f0f1a2b3c4d') || encode('run-1/' || o_orderkey)) AS h FROM orders)
         SELECT o_orderkey, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-'
@@ -92,11 +100,13 @@ ORACLES: dict[str, str] = {
           WHEN r.conv_id % 13 = 0 OR n < 2 OR NOT known THEN 'shape' WHEN r.conv_id % 5 = 0 AND n <> 4 THEN 'turn_count'
           WHEN first_role <> 'customer' THEN 'first_speaker' WHEN coalesce(same, false) THEN 'alternation' WHEN blank THEN 'blank_turn' END AS reason
         FROM r JOIN a ON r.conv_id = a.conv_id""",
-    "invariant_violations": f"""WITH {_TURNS}, x AS (SELECT *, row_number() OVER w - 1 AS k, lag(role) OVER w AS before FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
-        r AS (SELECT conv_id, count(*) < 2 AS a, bool_or(k <> turn) AS b, bool_or(role NOT IN ('customer', 'agent')) AS c, min_by(role, k) <> 'customer' AS d,
-          coalesce(bool_or(role = before), false) AS e, bool_or(trim(text, ' ' || chr(9) || chr(10) || chr(13)) = '') AS f FROM x GROUP BY conv_id)
-        SELECT conv_id, unnest(list_filter([CASE WHEN a THEN 'too_few_turns' END, CASE WHEN b THEN 'turn_index' END, CASE WHEN c THEN 'role' END,
-          CASE WHEN d THEN 'first_speaker' END, CASE WHEN e THEN 'alternation' END, CASE WHEN f THEN 'blank_turn' END], lambda v: v IS NOT NULL)) AS violation FROM r""",
+    "invariant_violations": f"WITH {_VIOLATIONS} SELECT conv_id, violation FROM viol",
+    "validator_report": f"""WITH {_VIOLATIONS}, ids AS (SELECT DISTINCT conv_id FROM t), fp AS (SELECT conv_id, string_agg(role || chr(31) || regexp_replace({_STRIPPED}, '{_BLANK}', ' ', 'g'), chr(30) ORDER BY turn, role, text) AS fp FROM t GROUP BY 1)
+        SELECT 'contract' AS gate, violation AS finding, count(*) AS n FROM viol GROUP BY 2
+        UNION ALL SELECT 'version', 'unsupported_version', count(*) FROM ids WHERE conv_id % 9 = 0 HAVING count(*) > 0
+        UNION ALL SELECT 'version', 'mixed_versions', 1 FROM ids HAVING count(DISTINCT conv_id % 9 = 0) > 1
+        UNION ALL SELECT 'duplicates', 'duplicate_record_id', count(*) FROM (SELECT conv_id % 90 FROM ids GROUP BY 1 HAVING count(*) > 1) HAVING count(*) > 0
+        UNION ALL SELECT 'duplicates', 'duplicate_content', count(*) FROM (SELECT row_number() OVER (PARTITION BY fp ORDER BY conv_id) AS k FROM fp) WHERE k > 1 HAVING count(*) > 0""",
     "turn_index_contiguity": f"""WITH {_TURNS}, x AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 = turn AS ok FROM t)
         SELECT conv_id, count(*) AS n, bool_and(ok) AS contiguous FROM x GROUP BY conv_id""",
     "role_alternation": f"""WITH {_TURNS}, x AS (SELECT *, role = lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS same FROM t)
@@ -114,8 +124,10 @@ ORACLES: dict[str, str] = {
     "approved_suppression": f"""{_FOUND}, ok AS (SELECT DISTINCT value FROM m WHERE category = 'PHONE' AND doc_id % 3 = 0)
         SELECT category, CASE WHEN status = 'blocking' AND category = 'PHONE' AND value IN (SELECT value FROM ok) THEN 'approved' ELSE status END AS status, count(*) AS n FROM f GROUP BY 1, 2""",
     "scan_totals": "SELECT count(DISTINCT conv_id) AS records, count(*) + count(DISTINCT conv_id) AS fields FROM conversations",
-    "floor_probe": f"""WITH probe AS (SELECT * FROM (VALUES ('EMAIL', 'mira.okafor@northwindow.io'), ('PHONE', '(646) 738-2091'), ('CREDIT_CARD', '4539 7281 0046 3317'),
-        ('US_SSN', '531-08-4472')) v(expected, text)), {_found('probe', 'expected')} SELECT DISTINCT expected, value FROM m WHERE category = expected""",
+    "floor_probe": f"""WITH c AS (SELECT * FROM (VALUES ('EMAIL', 'mira.okafor@northwindow.io'), ('PHONE', '(646) 738-2091'), ('CREDIT_CARD', '4539 7281 0046 3317'),
+        ('US_SSN', '531-08-4472')) v(expected, canary)), probe AS (SELECT doc_id || ':' || expected AS k, coalesce(text, '') || ' ; ' || canary AS text FROM documents, c), {_found('probe', 'k')},
+        hit AS (SELECT expected, count(DISTINCT k) AS hits FROM m JOIN c ON category = expected AND value = canary AND split_part(k, ':', 2) = expected GROUP BY 1)
+        SELECT c.expected, (SELECT count(*) FROM documents) AS texts, coalesce(hits, 0) AS hits FROM c LEFT JOIN hit ON c.expected = hit.expected""",
     "reject_reason_tally": f"WITH {_ATT} SELECT reason, count(*) AS n FROM att WHERE reason IS NOT NULL GROUP BY 1",
     "discard_rates": f"""WITH {_ATT}, l AS (SELECT * FROM (VALUES ('privacy_finding', 0.005::DOUBLE), ('structural_invalid', 0.25)) v(reason, lim)),
         c AS (SELECT l.reason, lim, count(*) FILTER (att.reason = l.reason) AS n, count(*) AS generated FROM l, att GROUP BY 1, 2)
@@ -151,8 +163,10 @@ ORACLES: dict[str, str] = {
         o AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY position) - 1 AS k FROM w)
         SELECT l_orderkey, count(*) FILTER (k = position) AS next_position FROM o GROUP BY 1""",
     "rerun_equivalence": f"""WITH {_META} SELECT o_orderkey, 'priority' AS "column" FROM meta WHERE o_orderkey % 50 = 0 AND o_orderkey % 7 <> 0""",
-    "ordered_serialization": f"""WITH {_META} SELECT o_orderkey, '{{"category":"' || category || '","channel":"' || channel || '","priority":"' || priority
-        || '","resolution_status":"' || resolution_status || '"}}' AS line FROM meta""",
+    "ordered_serialization": f"""WITH {_TURNS}, c AS (SELECT conv_id, string_agg('{{"content":' || to_json(text)::VARCHAR || ',"index":' || turn || ',"role":"' || role || '"}}', ',' ORDER BY turn, role, text) AS turns FROM t GROUP BY 1)
+        SELECT conv_id::INT AS record_index, '{{"generation":{{"judge_model_id":"j","model_id":"m"}},"metadata":{{"category":"billing","channel":"email","created_at":"2026-01-01T00:00:00Z","priority":"low","resolution_status":"resolved","resolved_at":'
+          || CASE WHEN conv_id % 2 = 0 THEN '"2026-01-02T00:00:00Z"' ELSE 'null' END || '}},"quality":{{"coherence_score":' || (conv_id / 80.0::DOUBLE)::VARCHAR || ',"rubric_id":"q"}},"record_id":"r' || conv_id % 90 || '","record_index":' || conv_id
+          || ',"run_id":"run","scenario":"x","schema_version":"' || CASE WHEN conv_id % 9 = 0 THEN '2.0.0' ELSE '1.0.0' END || '","source_id":"s","subdomain":"d","turns":[' || turns || ']}}' AS line FROM c""",
 }
 
 ORACLES["traceability"] = "SELECT o_orderkey AS record_id, o_custkey AS run_id FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 12)"
@@ -165,12 +179,13 @@ SELECT user_id, count(*) AS n, count(*) FILTER (WHERE gap < 3600000000) AS too_s
 ORACLES["judge_prompt_turns"] = f"""WITH {_TURNS}, n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) - 1 AS i FROM t)
 SELECT conv_id, string_agg('[' || i || '] ' || role || ': ' || text, chr(10) || chr(10) ORDER BY i) AS prompt FROM n GROUP BY 1"""
 ORACLES["requested_turn_count"] = "SELECT p_partkey, p_size AS turns FROM part"
-ORACLES["covered_types"] = "SELECT unnest(['CREDIT_CARD', 'EMAIL', 'IP_ADDRESS', 'PHONE', 'US_SSN']) AS category"
+ORACLES["covered_types"] = f"""{_FOUND}, k AS (SELECT unnest(['CREDIT_CARD', 'EMAIL', 'IP_ADDRESS', 'PHONE', 'US_SSN']) AS category)
+SELECT k.category, count(f.value) AS n FROM k LEFT JOIN f ON k.category = f.category GROUP BY 1"""
 ORACLES["turn_time_bounds"] = """SELECT o_orderkey AS record_id, 'times' AS gate, 'turn_time_out_of_bounds:' || l_linenumber AS finding
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderdate OR l_shipdate > o_orderdate + INTERVAL 60 DAY"""
 ORACLES["upstream_ids"] = """SELECT doc_id AS record_id, 'upstream' AS gate, 'unknown_upstream_id' AS finding FROM labels
 WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE lang <> 'fr')"""
-ORACLES["duplicate_turn_groups"] = rf"""WITH {_TURNS}, f AS (SELECT conv_id, role, trim(regexp_replace(substr(text, 1, 12), '\s+', ' ', 'g')) AS body FROM t WHERE turn = 0),
-g AS (SELECT min(conv_id) AS first, count(*) AS n, (list(conv_id ORDER BY conv_id))[1:100] AS ids FROM f GROUP BY role, body HAVING count(*) > 1)
-SELECT 'r' || first AS kept, array_to_string(list_transform(ids, lambda x: 'r' || x), ',') AS members, n FROM g"""
-ORACLES["detector_errors"] = f"WITH {_TURNS} SELECT DISTINCT conv_id AS record_id, 'turns[' || turn || '].content' AS field, 'detector_error' AS reason FROM t WHERE length(text) > 200"
+ORACLES["duplicate_turn_groups"] = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), f AS (SELECT doc_id, nfc_normalize(regexp_replace({_STRIPPED}, '{_BLANK}', ' ', 'g')) AS body FROM d),
+g AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY body) AS first, count(*) OVER (PARTITION BY body) AS n FROM f)
+SELECT 'r' || first AS kept, 'r' || doc_id AS record_id FROM g WHERE n > 1"""
+ORACLES["detector_errors"] = r"SELECT doc_id AS record_id, 'text' AS field, 'detector_error' AS reason FROM documents WHERE regexp_matches(text, '[^\x00-\x7F]')"

@@ -12,6 +12,7 @@ from loomspan.operators import calibration, composition, duplicates, gates, mani
 from loomspan.plans import adapters as ad
 from loomspan.plans import checkpoint, run_queries
 from loomspan.plans.oracles import ORACLES
+from loomspan.sources import corpus
 
 #: What the order adapter's corpus was asked to be.
 REQUESTED = {
@@ -22,7 +23,6 @@ REQUESTED = {
 }
 TOLERANCE_PP = 2.0
 SEED = 7
-SLOTS = 5000
 QUERIES: dict = {}
 
 
@@ -92,13 +92,16 @@ def apportion_largest_remainder(spark, d):
 
 @query
 def slot_pool_assignment(spark, d):
-    return planning.pool_assignment(_want(spark), SLOTS, SEED)
+    """A slot for each order."""
+    return planning.pool_assignment(_want(spark), ad.table(spark, d, "orders").count(), SEED)
 
 
 @query
 def slot_plan(spark, d):
-    """Turn counts and times of the first slots; the pools are another query."""
-    drawn = planning.draws(SLOTS, SEED, schema.DEFAULTS, ["billing", "login", "returns"], spark)
+    """Turn counts and times of a slot for each order, with market segments as
+    subdomains; the pools are another query."""
+    names = [r[0] for r in ad.table(spark, d, "customer").select("c_mktsegment").distinct().collect()]
+    drawn = planning.draws(ad.table(spark, d, "orders").count(), SEED, schema.DEFAULTS, names, spark)
     return drawn.select("position", "subdomain", "turn_count", F.col("created_s").cast("long").alias("created_s"), F.col("resolution_s").cast("long").alias("resolution_s"))
 
 
@@ -128,20 +131,22 @@ def structural_gate_reasons(spark, d):
     return r.select("conv_id", gates.structural_reason("text", "turn_count", "stop_reason").alias("reason"))
 
 
+def _contract_records(spark, d):
+    """Conversations as records of the contract, with faults of all kinds."""
+    return ad.records(spark, d).select(
+        F.when(F.col("conv_id") % 9 == 0, "2.0.0").otherwise(schema.SCHEMA_VERSION).alias("schema_version"), F.concat(F.lit("r"), F.col("conv_id") % 90).alias("record_id"), F.lit("run").alias("run_id"),
+        F.col("conv_id").cast("int").alias("record_index"), F.lit("s").alias("source_id"), F.lit("d").alias("subdomain"), F.lit("x").alias("scenario"),
+        F.struct(F.lit("billing").alias("category"), F.lit("low").alias("priority"), F.lit("email").alias("channel"), F.lit("resolved").alias("resolution_status"), F.lit("2026-01-01").cast("timestamp").alias("created_at"),
+                 F.when(F.col("conv_id") % 2 == 0, F.lit("2026-01-02")).cast("timestamp").alias("resolved_at")).alias("metadata"),
+        F.transform("turns", lambda t: F.struct(t["index"].alias("index"), t["role"].alias("role"), t["content"].alias("content"))).alias("turns"),
+        F.struct((F.col("conv_id") / 80.0).alias("coherence_score"), F.lit("q").alias("rubric_id")).alias("quality"), F.struct(F.lit("m").alias("model_id"), F.lit("j").alias("judge_model_id")).alias("generation"),
+    )
+
+
 @query
 def invariant_violations(spark, d):
-    t = F.col("turns")
-    r = ad.records(spark, d)
-    names = {
-        "too_few_turns": F.size(t) < 2,
-        "turn_index": F.size(F.filter(t, lambda x, i: ~x["index"].eqNullSafe(i))) > 0,
-        "role": F.exists(t, lambda x: ~x["role"].isin(*schema.ROLES)),
-        "first_speaker": t[0]["role"] != "customer",
-        "alternation": ~gates.alternating(t),
-        "blank_turn": F.exists(t, lambda x: tx.is_blank(x["content"])),
-    }
-    bad = F.filter(F.array(*(F.when(c, F.lit(k)) for k, c in names.items())), lambda x: x.isNotNull())
-    return r.select("conv_id", F.explode(bad).alias("violation"))
+    """What the contract's gate says of all records."""
+    return _contract_records(spark, d).select(F.col("record_index").alias("conv_id"), F.explode(gates.violations()).alias("violation"))
 
 
 @query
@@ -233,8 +238,11 @@ def scan_totals(spark, d):
 
 @query
 def floor_probe(spark, d):
-    rows = spark.createDataFrame(list(privacy.CANARIES.items()), "category string, text string")
-    return privacy.matches(rows.withColumnRenamed("category", "expected"), None, "expected").where("category = expected").select("expected", "value").distinct()
+    """Each blocking category's canary set behind every document: in how many it is found."""
+    canaries = F.array(*(F.struct(F.lit(c).alias("expected"), F.lit(v).alias("canary")) for c, v in privacy.CANARIES.items()))
+    rows = ad.table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("body"), F.explode(canaries).alias("c")).select("doc_id", "c.*", F.concat("body", F.lit(" ; "), "c.canary").alias("text"))
+    hit = privacy.Detectors().look(rows).withColumn("hit", F.exists("found", lambda m: (m["category"] == F.col("expected")) & (m["value"] == F.col("canary"))))
+    return hit.groupBy("expected").agg(F.count(F.lit(1)).alias("texts"), F.count_if("hit").alias("hits"))
 
 
 @query
@@ -346,21 +354,14 @@ def rerun_equivalence(spark, d):
 
 @query
 def ordered_serialization(spark, d):
-    m = ad.ticket_meta(spark, d)
-    return m.select("o_orderkey", F.to_json(F.struct("category", "channel", "priority", "resolution_status"), {"ignoreNullFields": "false"}).alias("line"))
+    """The lines of a corpus of all conversations."""
+    return corpus.serialize(_contract_records(spark, d))
 
 
 @query
 def validator_report(spark, d):
     """Findings of all gates over conversations taken as records."""
-    r = ad.records(spark, d).select(
-        F.when(F.col("conv_id") % 9 == 0, "2.0.0").otherwise(schema.SCHEMA_VERSION).alias("schema_version"), F.concat(F.lit("r"), F.col("conv_id") % 90).alias("record_id"), F.lit("run").alias("run_id"),
-        F.col("conv_id").cast("int").alias("record_index"), F.lit("s").alias("source_id"), F.lit("d").alias("subdomain"), F.lit("x").alias("scenario"),
-        F.struct(F.lit("billing").alias("category"), F.lit("low").alias("priority"), F.lit("email").alias("channel"), F.lit("resolved").alias("resolution_status"), F.lit("2026-01-01").cast("timestamp").alias("created_at"),
-                 F.when(F.col("conv_id") % 2 == 0, F.lit("2026-01-02")).cast("timestamp").alias("resolved_at")).alias("metadata"),
-        "turns", F.struct((F.col("conv_id") / 80.0).alias("coherence_score"), F.lit("q").alias("rubric_id")).alias("quality"), F.struct(F.lit("m").alias("model_id"), F.lit("j").alias("judge_model_id")).alias("generation"),
-    )
-    return validator.report(validator.all_findings(r))
+    return validator.report(validator.all_findings(_contract_records(spark, d)))
 
 
 @query
@@ -405,7 +406,9 @@ def requested_turn_count(spark, d):
 
 @query
 def covered_types(spark, d):
-    return spark.createDataFrame([(c,) for c in privacy.covered_types()], "category string")
+    """Every category that is looked for, and how often it is found."""
+    covered = spark.createDataFrame([(c,) for c in privacy.covered_types()], "category string")
+    return covered.join(_matches(spark, d).groupBy("category").agg(F.count(F.lit(1)).alias("n")), "category", "left").select("category", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 @query
@@ -425,16 +428,25 @@ def upstream_ids(spark, d):
 
 @query
 def duplicate_turn_groups(spark, d):
-    """Conversations of one opening, white space aside, as groups of duplicates."""
-    t = ad.turns(spark, d).where("turn = 0").select(F.col("conv_id").alias("record_index"), F.concat(F.lit("r"), F.col("conv_id")).alias("record_id"), F.array(F.struct("role", F.substring("text", 1, 12).alias("content"))).alias("turns"))
-    return validator.duplicate_groups(t).select("kept", F.array_join("members", ",").alias("members"), "n")
+    """Documents as records of one turn: all members of each group of duplicates."""
+    turns = F.array(F.struct(F.lit("customer").alias("role"), F.coalesce("text", F.lit("")).alias("content")))
+    r = ad.table(spark, d, "documents").select(F.col("doc_id").alias("record_index"), F.concat(F.lit("r"), F.col("doc_id")).alias("record_id"), turns.alias("turns"))
+    return validator.duplicate_members(r).select("kept", "record_id")
+
+
+def _plain_only(text: str):
+    """A finder that knows ASCII alone, and fails at other texts."""
+    text.encode("ascii")
+    return []
 
 
 @query
 def detector_errors(spark, d):
-    """Texts too long for a detector are reported, not taken for clean."""
-    f = ad.turns(spark, d).select(F.col("conv_id").alias("record_id"), F.concat(F.lit("turns["), F.col("turn"), F.lit("].content")).alias("field"), F.when(F.length("text") > 200, "too long").alias("detector_problem"))
-    return privacy.failed_fields(f)
+    """Documents at which a detector fails: they are reported, not taken for clean."""
+    detectors = privacy.Detectors()
+    detectors.register("plain_only", finder=_plain_only)
+    fields = ad.table(spark, d, "documents").select(F.col("doc_id").alias("record_id"), F.lit("text").alias("field"), "text")
+    return privacy.failed_fields(detectors.look(fields))
 
 
 QUERIES |= run_queries.QUERIES
