@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,25 +14,47 @@ from loomspan.operators import gates
 MOST_LISTED = 100
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``file, line_no, line, record, error`` of JSON Lines; a bad line is a row with an
-    error, and reading goes on.  Blank lines are skipped, but counted.
+def numbered_lines(text: DataFrame) -> DataFrame:
+    """``file, line_no, line`` from lines as tasks read them, with the ``block`` of the
+    file each comes from.
 
     Lines are numbered from 1 in two steps: within the pieces that tasks read, then by
-    the pieces' lengths, so no task holds a whole file."""
-    text = spark.read.text(path).select(F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    the pieces' lengths, so no task holds a whole file.  ``text`` is evaluated twice, in
+    the same pieces."""
+    text = text.select("file", "block", F.monotonically_increasing_id().alias("at"), "line")
     starts = text.groupBy("file", "block").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = starts.select("file", "block", "first", before.alias("before"))
-    known = [f.name for f in T.StructType.fromDDL(schema.RECORD_DDL).fields]
-    keys = F.json_object_keys("line")
-    unknown = F.array_join(F.array_sort(F.array_except(keys, F.array(*map(F.lit, known)))), ", ")
-    error = F.when(keys.isNull(), F.lit("not_json")).when(unknown != "", F.concat(F.lit("unknown fields: "), unknown))
-    numbered = text.join(starts, ["file", "block"]).select("file", (F.col("before") + F.col("at") - F.col("first") + 1).alias("line_no"), "line").where(F.trim("line") != "")
-    parsed = numbered.withColumn("record", F.from_json("line", schema.RECORD_DDL)).withColumn("error", error)
+    return text.join(starts, ["file", "block"]).select("file", (F.col("before") + F.col("at") - F.col("first") + 1).alias("line_no"), "line")
+
+
+def _unknown(line: Column) -> Column:
+    """Names of fields that the contract doesn't have, at any level."""
+    record = T.StructType.fromDDL(schema.RECORD_DDL)
+    inner = {f.name: f.dataType for f in record.fields if isinstance(f.dataType, T.StructType)}
+    extra = lambda json, kind: F.array_except(F.coalesce(F.json_object_keys(json), F.array().cast("array<string>")), F.array(*map(F.lit, kind.fieldNames())))
+    below = lambda name, names: F.transform(names, lambda x: F.concat(F.lit(f"{name}."), x))
+    turns = F.coalesce(F.from_json(F.get_json_object(line, "$.turns"), "array<string>"), F.array().cast("array<string>"))
+    in_turns = F.array_distinct(F.flatten(F.transform(turns, lambda t: extra(t, record["turns"].dataType.elementType))))
+    return F.array_sort(F.concat(extra(line, record), *(below(k, extra(F.get_json_object(line, f"$.{k}"), kind)) for k, kind in inner.items()), below("turns", in_turns)))
+
+
+def parsed_lines(numbered: DataFrame) -> DataFrame:
+    """``file, line_no, line, record, error``: a bad line has an error and no record.
+    Blank lines are left out."""
+    unknown = F.array_join(_unknown(F.col("line")), ", ")
+    error = F.when(F.json_object_keys("line").isNull(), F.lit("not_json")).when(unknown != "", F.concat(F.lit("unknown fields: "), unknown))
+    parsed = numbered.where(F.trim("line") != "").withColumn("record", F.from_json("line", schema.RECORD_DDL)).withColumn("error", error)
     return parsed.withColumn("record", F.when(F.col("error").isNull(), F.col("record")))
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, line_no, line, record, error`` of JSON Lines; a bad line is a row with an
+    error, and reading goes on.  Blank lines are skipped, but counted."""
+    text = spark.read.text(path).select(F.input_file_name().alias("file"), F.input_file_block_start().alias("block"), F.col("value").alias("line"))
+    return parsed_lines(numbered_lines(text))
+
+
 def time_findings(turns: DataFrame) -> DataFrame:
     """Turns that were said before their record was made or after it was resolved, from
     ``record_id, index, said_at, created_at, resolved_at``; a turn without a time is none."""
