@@ -16,7 +16,8 @@ from loomspan.functions.text import content_fingerprint
 from loomspan.operators import composition, manifest, metrics, privacy
 from loomspan.plans import report as reports
 from loomspan.plans.segments import FOUND, SegmentedRun
-from loomspan.sources import corpus, store as stores
+from loomspan.sources import corpus, ordered
+from loomspan.sources import store as stores
 from loomspan.sources.store import Store, join
 
 #: Breaches that a report spells out; the manifest has them all.
@@ -66,7 +67,7 @@ def conclude(run: SegmentedRun) -> dict:
     staging, final = run.staged.at("corpus"), join(run.out_dir, run.run_id)
     store.delete(staging)
     run.on("before corpus")
-    corpus.write_ordered(run.accepted(), staging)
+    sha256 = _write(run.accepted(), staging)
     run.on("after corpus")
     written = corpus.read_corpus(spark, staging)
     want, have = composition.requested(spark, config["composition"]), composition.shares(written.select("metadata.*"))
@@ -86,7 +87,7 @@ def conclude(run: SegmentedRun) -> dict:
         "duplicate_count": n - written.select(content_fingerprint("turns")).distinct().count(), "composition_requested": config["composition"],
         "composition_assigned": _nested(composition.shares(run.plan), "share", config["composition"]), "composition_achieved": _nested(have, "share", config["composition"]),
         "coherence_score_distribution": {r["bucket"]: r["n"] for r in metrics.histogram(written.select(F.col("quality.coherence_score").alias("score"))).collect()},
-        "output_filename": run.run_id, "output_sha256": stores.parts_sha256(spark, staging), "outcome": result, "breaches": over, "rate_breaches": rates,
+        "output_filename": run.run_id, "output_sha256": sha256, "outcome": result, "breaches": over, "rate_breaches": rates,
     }
     quarantined = _quarantine(run)
     examined = attempts.where("candidate is not null and (detail is null or reason = 'detector_error')")
@@ -107,6 +108,15 @@ def conclude(run: SegmentedRun) -> dict:
     return r | {"manifest": m}
 
 
+def _write(records: DataFrame, path: str) -> str:
+    """Writes the corpus in order; its checksum comes of the writing where the path
+    allows it, else of a second read."""
+    if ordered.supported(path):
+        return ordered.write_lines(corpus.serialize(records), "record_index", "line", path, "overwrite")["sha256"]
+    corpus.write_ordered(records, path)
+    return stores.parts_sha256(records.sparkSession, path)
+
+
 def _quarantine(run: SegmentedRun) -> int:
     """Candidates that were blocked, with their masked findings, as JSON Lines."""
     ddl = run.schema()

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspan import schema
+from loomspan.sources import store
 
 
 class ConfigError(ValueError):
@@ -218,12 +219,7 @@ def artifact_sha256(spark: SparkSession, path: str) -> str | None:
     """The checksum of a file, or of a folder of parts that follow each other by name:
     SHA-256 of the parts' checksums, each made by the task that reads the part.  None
     where nothing is there."""
-    if os.path.isfile(path):
-        return sha256_file(path)
-    if not os.path.isdir(path):
-        return None
-    parts = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select(F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("sha"))
-    return hashlib.sha256("".join(r["sha"] for r in parts.orderBy("name").collect()).encode()).hexdigest()
+    return sha256_file(path) if os.path.isfile(path) else store.parts_sha256(spark, path)
 
 
 def read_manifest(path: str) -> dict:
@@ -272,13 +268,12 @@ def write_quarantine(records: DataFrame, findings: DataFrame, path: str) -> None
 
 
 def read_approvals(spark: SparkSession, path: str) -> DataFrame:
+    """Approvals from wherever Spark reads; none where no store was written yet."""
     ddl = "fingerprint string, category string, reason string, approved_by string, approved_on string"
-    return spark.read.schema(ddl).json(path, multiLine=True) if os.path.exists(path) else spark.createDataFrame([], ddl)
+    return spark.read.schema(ddl).json(path, multiLine=True) if store.Store(spark).exists(path) else spark.createDataFrame([], ddl)
 
 
 def save_approvals(approvals: DataFrame, path: str) -> None:
     """A small table, by design: what people approved by hand."""
     rows = sorted((r.asDict() for r in approvals.collect()), key=lambda r: r["fingerprint"])
-    with open(f"{path}.tmp", "w") as f:
-        json.dump(rows, f, indent=2, sort_keys=True)
-    os.replace(f"{path}.tmp", path)
+    store.Store(approvals.sparkSession).put_json(path, rows)

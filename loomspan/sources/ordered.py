@@ -39,6 +39,15 @@ def opened(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path)
 
 
+def supported(path: str) -> bool:
+    """Whether ``pyarrow.fs`` opens such a path."""
+    try:
+        opened(path)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        return False
+    return True
+
+
 @dataclass
 class Part(WriterCommitMessage):
     """What a task wrote: its number, file, lines, bytes, digest, first and last place."""
