@@ -81,7 +81,7 @@ def test_a_run_that_completes(spark, whole, tmp_path):
     assert found["privacy"]["quarantine_count"] == 1 and found["privacy"]["blocking"] == 1 and found["artifact_path"].endswith("run-1") and m["resumed_count"] == 0
 
 
-@pytest.mark.parametrize("point,nth", [("after segment", 1), ("before checkpoint", 2), ("after checkpoint", 0), ("after corpus", 0), ("after publish", 0)])
+@pytest.mark.parametrize("point,nth", [("after segment", 1), ("before checkpoint", 2), ("after corpus", 0), ("after publish", 0)])
 def test_a_killed_run_ends_in_the_same(spark, whole, tmp_path, point, nth):
     run = make(spark, tmp_path, on=kill_at(point, nth))
     with pytest.raises(Killed):
