@@ -8,28 +8,44 @@ from pyspark.sql import functions as F
 from loomspan.functions.text import keyed_hash
 from loomspan.operators.composition import apportion
 
+#: Pool items that one row spreads into, and positions dealt in one task.
+SPAN = 50_000
+POSITIONS_PER_TASK = 200_000
+#: Rows that a hash range should hold.
+RANGE_ROWS = 50_000
 
 
-def ranked(df: DataFrame, group: str, key: str, *ties: str) -> DataFrame:
+def ranked(df: DataFrame, group: str, key: str, *ties: str, size: int = 0) -> DataFrame:
     """Adds ``place``: the 0-based rank by ``key`` (a 60-bit hash) within ``group``,
-    counted over hash ranges first and within one range second."""
-    d = df.withColumn("_b", F.shiftright(F.col(key), 54))
+    counted over hash ranges first and within one range second.  Told the ``size`` of a
+    group, it makes so many ranges and tasks that one holds about ``RANGE_ROWS`` of each."""
+    bits = max(6, (size // RANGE_ROWS).bit_length())
+    d = df.withColumn("_b", F.shiftright(F.col(key), 60 - bits))
     sizes = d.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(group, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
     inside = F.row_number().over(Window.partitionBy(group, "_b").orderBy(key, *ties))
+    if size:
+        d = d.repartition(-(-size // RANGE_ROWS), group, "_b")
     return d.withColumn("_r", inside).join(offsets, [group, "_b"]).withColumn("place", F.col("_o") + F.col("_r") - 1).drop("_b", "_r", "_o")
 
 
+def pool_items(counts: DataFrame, n: int) -> DataFrame:
+    """``dimension, member, item``: each member's stretch of the items 0 to n - 1.  The
+    pool is as large as the corpus, so a member's items are made a span at a time, in
+    many tasks."""
+    before = Window.partitionBy("dimension").orderBy("member").rowsBetween(Window.unboundedPreceding, -1)
+    spans = counts.withColumn("at", F.coalesce(F.sum("n").over(before), F.lit(0))).where("n > 0").withColumn("end", F.col("at") + F.col("n") - 1)
+    cut = spans.select("dimension", "member", "end", F.explode(F.sequence("at", "end", F.lit(SPAN).cast("long"))).alias("start"))
+    dealt = cut.repartition(max(1, -(-n // POSITIONS_PER_TASK)))
+    return dealt.select("dimension", "member", F.explode(F.sequence("start", F.least(F.col("start") + SPAN - 1, F.col("end")))).alias("item"))
+
+
 def pool_assignment(comp: DataFrame, n: int, seed: int) -> DataFrame:
     """``dimension, position, member``: each member as often as apportioned, dealt to
     the positions in a shuffled order of its own for each dimension."""
-    counts = apportion(comp, n)
-    before = Window.partitionBy("dimension").orderBy("member").rowsBetween(Window.unboundedPreceding, -1)
-    spans = counts.withColumn("at", F.coalesce(F.sum("n").over(before), F.lit(0))).where("n > 0")
-    pool = spans.select("dimension", "member", F.explode(F.sequence(F.col("at"), F.col("at") + F.col("n") - 1)).alias("item"))
-    keyed = pool.withColumn("key", keyed_hash(seed, "pool", F.col("dimension"), F.col("item")))
-    return ranked(keyed, "dimension", "key", "item").select("dimension", F.col("place").cast("long").alias("position"), "member")
+    keyed = pool_items(apportion(comp, n), n).withColumn("key", keyed_hash(seed, "pool", F.col("dimension"), F.col("item")))
+    return ranked(keyed, "dimension", "key", "item", size=n).select("dimension", F.col("place").cast("long").alias("position"), "member")
 
 
 def draws(n: int, seed: int, settings: dict, subdomains: list[str], spark: SparkSession) -> DataFrame:

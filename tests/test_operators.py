@@ -36,6 +36,20 @@ def test_slots_are_whole_and_consistent(spark):
     assert (s.dropna().resolved_at > s.dropna().created_at).all()
 
 
+def test_pool_is_made_in_bounded_tasks(spark, monkeypatch):
+    """No task makes the items of more than its share of positions, and none is lost."""
+    monkeypatch.setattr(planning, "SPAN", 100)
+    monkeypatch.setattr(planning, "POSITIONS_PER_TASK", 500)
+    monkeypatch.setattr(planning, "RANGE_ROWS", 50)
+    comp = composition.requested(spark, {"x": {"a": 0.7, "b": 0.3}, "y": {"c": 1.0}})
+    items = planning.pool_items(composition.apportion(comp, 5001), 5001)
+    tasks = [r["n"] for r in items.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(tasks) == 11 and max(tasks) <= 2 * 500 + 4 * 100 and sum(tasks) == 2 * 5001
+    got = planning.pool_assignment(comp, 5001, 7).toPandas()
+    assert got.groupby("dimension").position.apply(lambda p: sorted(p) == list(range(5001))).all()
+    assert got.groupby("member").size().to_dict() == {"a": 3501, "b": 1500, "c": 5001}
+
+
 def test_record_id_is_uuid5(spark):
     got = one(spark.range(1).select(tx.record_id(F.lit("run"), F.lit(7))))
     assert got == str(uuid.uuid5(tx.RECORD_NAMESPACE, "run/7"))
