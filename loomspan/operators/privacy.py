@@ -69,11 +69,16 @@ def _labelled(category: str) -> Callable[[Column], Column]:
     return lambda v: F.struct(F.lit(category).alias("category"), v.alias("value"), F.lit("pattern").alias("detector"))
 
 
-def pattern_detector(text: Column) -> Column:
-    """Matches of all patterns, by category in the order listed.  Card digits are
-    blanked before phones and numbers are looked for, so a card is not one too."""
+def pattern_detector(text: Column, only: str | None = None) -> Column:
+    """Matches of all patterns, by category in the order listed, or those of one category.
+    Card digits are blanked before phones and numbers are looked for, so a card is not
+    one too."""
     found, rest = [], text
     for category in ("EMAIL", "CREDIT_CARD", "PHONE", "US_SSN", "IP_ADDRESS"):
+        if only and category != only:
+            if category == "CREDIT_CARD":
+                rest = F.regexp_replace(rest, PATTERNS[category], " # ")
+            continue
         values = F.regexp_extract_all(rest, F.lit(LINEAR.get(category, PATTERNS[category])), F.lit(1))
         if category == "EMAIL":
             values = F.when(rest.contains("@"), values).otherwise(F.array().cast("array<string>"))
@@ -141,6 +146,24 @@ class Detectors:
         problem = F.coalesce(*(x["problem"] for x in looks), F.lit(None).cast("string"))
         return seen.withColumn("found", found).withColumn("problem", problem).drop(*(f"_look{i}" for i in range(len(looks))))
 
+    def probe(self, texts: DataFrame, text: str = "text") -> DataFrame:
+        """One row: ``texts``, their number, and per blocking category the number of those
+        that give its canary when that is set behind them.
+
+        Of the patterns only the canary's own is looked for, as matches of the others
+        never count; other detectors are asked as they are."""
+        body = F.coalesce(F.col(text), F.lit(""))
+        seen, hits = texts, []
+        for i, (category, canary) in enumerate(CANARIES.items()):
+            probed = F.concat(body, F.lit(" ; "), F.lit(canary))
+            for k, look in enumerate(self._finders.values()):
+                seen = seen.withColumn(f"_look{i}_{k}", look(probed))
+            by_expression = (d(probed, category) if d is pattern_detector else d(probed) for d in self._by_name.values())
+            found = F.concat(*by_expression, *(F.col(f"_look{i}_{k}.found") for k in range(len(self._finders))))
+            hits.append(F.exists(found, lambda m: (m["category"] == category) & (m["value"] == canary)))  # noqa: B023
+        # one pass over the texts counts all canaries
+        return seen.agg(F.count(F.lit(1)).alias("texts"), *(F.count_if(h).alias(c) for c, h in zip(CANARIES, hits)))
+
     def missed(self, spark: SparkSession) -> list[str]:
         """Blocking categories whose canary is not found; an error is a miss."""
         rows = spark.createDataFrame(list(CANARIES.items()), "category string, text string")

@@ -239,10 +239,9 @@ def scan_totals(spark, d):
 @query
 def floor_probe(spark, d):
     """Each blocking category's canary set behind every document: in how many it is found."""
-    canaries = F.array(*(F.struct(F.lit(c).alias("expected"), F.lit(v).alias("canary")) for c, v in privacy.CANARIES.items()))
-    rows = ad.table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("body"), F.explode(canaries).alias("c")).select("doc_id", "c.*", F.concat("body", F.lit(" ; "), "c.canary").alias("text"))
-    hit = privacy.Detectors().look(rows).withColumn("hit", F.exists("found", lambda m: (m["category"] == F.col("expected")) & (m["value"] == F.col("canary"))))
-    return hit.groupBy("expected").agg(F.count(F.lit(1)).alias("texts"), F.count_if("hit").alias("hits"))
+    hits = privacy.Detectors().probe(ad.table(spark, d, "documents"))
+    rows = F.array(*(F.struct(F.lit(c).alias("expected"), "texts", F.col(c).alias("hits")) for c in privacy.CANARIES))
+    return hits.select(F.explode(rows).alias("r")).select("r.*")
 
 
 @query

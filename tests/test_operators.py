@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from loomspan import cli, schema
 from loomspan.functions import text as tx
 from loomspan.operators import calibration, composition, gates, manifest, metrics, planning, privacy, validator
+from loomspan.plans import registry
 from loomspan.sources import corpus
 
 
@@ -50,6 +51,24 @@ def test_pool_is_made_in_bounded_tasks(spark, monkeypatch):
     assert got.groupby("member").size().to_dict() == {"a": 3501, "b": 1500, "c": 5001}
 
 
+def test_probe_looks_for_each_canary_once(spark):
+    texts = spark.createDataFrame([("a 4539 7281 0046 3317",), (None,), ("531-08-44",), ("x@y.io +1 646",)], "text string")
+    d = privacy.Detectors()
+    hits = d.probe(texts)
+    assert hits.first().asDict() == {"texts": 4, **dict.fromkeys(privacy.CANARIES, 4)}
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == len(privacy.CANARIES)
+    assert privacy.Detectors(none=lambda t: F.array().cast(privacy.MATCH)).probe(texts).first().asDict() == {"texts": 4, **dict.fromkeys(privacy.CANARIES, 0)}
+    seen = privacy.Detectors(none=lambda t: F.array().cast(privacy.MATCH))
+    seen.register("ssn", finder=lambda t: [("US_SSN", t[-11:])])
+    assert seen.probe(texts).first()["US_SSN"] == 4 and seen.probe(texts).first()["EMAIL"] == 0
+
+
+def test_floor_probe_over_no_documents(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert {(r["expected"], r["texts"], r["hits"]) for r in registry.QUERIES["floor_probe"](spark, str(tmp_path)).collect()} == {(c, 0, 0) for c in privacy.CANARIES}
+
+
 def test_record_id_is_uuid5(spark):
     got = one(spark.range(1).select(tx.record_id(F.lit("run"), F.lit(7))))
     assert got == str(uuid.uuid5(tx.RECORD_NAMESPACE, "run/7"))
