@@ -1,6 +1,7 @@
 """Rules of single operators on literals."""
 
 import json
+import unicodedata
 import uuid
 
 import pytest
@@ -69,6 +70,15 @@ def test_floor_probe_over_no_documents(spark, tmp_path):
     assert {(r["expected"], r["texts"], r["hits"]) for r in registry.QUERIES["floor_probe"](spark, str(tmp_path)).collect()} == {(c, 0, 0) for c in privacy.CANARIES}
 
 
+def test_nfc_hands_python_few_texts_at_a_time(spark):
+    rows = ["", "plain", "é", "e\u0301", "\u1100\u1161\u11a8", "\u09c7\u09be", "a\u0307\u0323", "日本語", "\U0001d15e", None]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    df = spark.createDataFrame([*zip(rows)], "text string").select("text", tx.nfc("text").alias("n"))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == tx.BATCH_ROWS
+    for r in df.collect():
+        assert r["n"] == (None if r["text"] is None else unicodedata.normalize("NFC", r["text"]))
+
+
 def test_record_id_is_uuid5(spark):
     got = one(spark.range(1).select(tx.record_id(F.lit("run"), F.lit(7))))
     assert got == str(uuid.uuid5(tx.RECORD_NAMESPACE, "run/7"))
