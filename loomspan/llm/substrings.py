@@ -38,6 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -140,16 +141,17 @@ def _blocks(mark: np.ndarray, doc: np.ndarray, docs: np.ndarray) -> Iterator[tup
 
 
 def _count_anchors(parts: int):
-    """Blocks of anchors: ``part``, documents (id and key), for each anchor the place of
-    its document, and marks (the upper half, where the part is not negative)."""
+    """Blocks of anchors: ``part``, ``block``, documents (id and key), for each anchor the
+    place of its document, and marks (the upper half, where the part is not negative)."""
 
-    def batch(marks: list, docs: list, table: list) -> Iterator[pa.RecordBatch]:
+    def batch(block: int, marks: list, docs: list, table: list) -> Iterator[pa.RecordBatch]:
         if marks:
             rows = _blocks(np.concatenate(marks), np.concatenate(docs), np.concatenate(table))
             p, d, at, m = zip(*((p, d.tobytes(), at.astype(np.uint32).tobytes(), (m if p < 0 else m.astype(np.uint32)).tobytes()) for p, d, at, m in rows))
-            yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), *(pa.array(x, pa.binary()) for x in (d, at, m))], ["part", "docs", "places", "marks"])
+            yield pa.RecordBatch.from_arrays([pa.array(p, pa.int32()), pa.array([block] * len(p), pa.int64()), *(pa.array(x, pa.binary()) for x in (d, at, m))], ["part", "block", "docs", "places", "marks"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 32
         marks, docs, table, n, n_docs = [], [], [], 0, 0
         for b in batches:
             data, off = textcore.utf8(b.column(2))
@@ -163,9 +165,10 @@ def _count_anchors(parts: int):
                 table.append(names[lo:hi])
                 n_docs += hi - lo
                 if n > BLOCK_PAIRS or n_docs > BLOCK_DOCS:
-                    yield from batch(marks, docs, table)
+                    yield from batch(block, marks, docs, table)
+                    block += 1
                     marks, docs, table, n, n_docs = [], [], [], 0, 0
-        yield from batch(marks, docs, table)
+        yield from batch(block, marks, docs, table)
 
     return run
 
@@ -178,35 +181,43 @@ def _by_doc(docs: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, list[bytes]
     return docs[cuts], [mark[a:z].tobytes() for a, z in zip(cuts, np.append(cuts[1:], len(docs)))]
 
 
+SHARED_SCHEMA = "block long, docs binary, places binary, marks binary"
+
+
 def _shared_anchors(table: pa.Table) -> pa.Table:
-    """Of one part: per document, the marks of anchors that other documents have too."""
+    """Of one part: per block, the marks of anchors that other documents have too, with
+    the places of those of its documents that have them."""
     part = table.column("part")[0].as_py()
-    found_docs, found_marks = [], []
-    docs, marks = [np.zeros((0, 2), np.int64)], [np.zeros(0, np.uint64)]
-    none = np.array([[0, 0]], np.int64)
-    known = []
+    if part < 0:
+        # what a block knew to be shared
+        return table.select(["block", "docs", "places", "marks"])
+    places = [np.frombuffer(x, np.uint32) for x in table.column("places").to_pylist()]
+    marks = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("marks").to_pylist()])
+    order = np.argsort(marks, kind="stable")
+    same = marks[order][1:] == marks[order][:-1]
+    shared = np.zeros(len(marks), bool)
+    shared[order] = np.append(False, same) | np.append(same, False)
+    shared &= np.concatenate(places) != _NO_DOC
+    out, a = [], 0
+    for block, docs, place in zip(table.column("block").to_pylist(), table.column("docs").to_pylist(), places):
+        pick, mark = shared[a : a + len(place)], marks[a : a + len(place)]
+        a += len(place)
+        if pick.any():
+            used, local = np.unique(place[pick], return_inverse=True)
+            whole = (mark[pick].astype(np.uint64) << np.uint64(32)) | np.uint64(part)
+            out.append((block, np.frombuffer(docs, np.int64).reshape(-1, 2)[used].tobytes(), local.astype(np.uint32).tobytes(), whole.tobytes()))
+    kinds = [pa.int64(), *[pa.binary()] * 3]
+    return pa.table([pa.array(c, k) for c, k in zip(zip(*out) if out else [()] * 4, kinds)], ["block", "docs", "places", "marks"])
+
+
+def _of_block(table: pa.Table) -> pa.Table:
+    """Of one block: per document, the marks of anchors that other documents have too."""
+    docs, marks = [], []
     for d, at, m in zip(*(table.column(c).to_pylist() for c in ("docs", "places", "marks"))):
-        names, place = np.frombuffer(d, np.int64).reshape(-1, 2), np.frombuffer(at, np.uint32)
-        if part < 0:
-            # what its block knew to be shared; one block at a time
-            keys, blobs = _by_doc(names[place], np.frombuffer(m, np.uint64))
-            found_docs.append(keys)
-            found_marks += blobs
-            continue
-        docs.append(np.concatenate([names, none])[np.minimum(place, len(names))])
-        known.append(place != _NO_DOC)
-        marks.append((np.frombuffer(m, np.uint32).astype(np.uint64) << np.uint64(32)) | np.uint64(part))
-    if known:
-        doc, mark, has = np.concatenate(docs), np.concatenate(marks), np.concatenate(known)
-        order = np.argsort(mark, kind="stable")
-        doc, mark, has = doc[order], mark[order], has[order]
-        same = mark[1:] == mark[:-1]
-        shared = (np.append(False, same) | np.append(same, False)) & has
-        keys, blobs = _by_doc(doc[shared], mark[shared])
-        found_docs.append(keys)
-        found_marks += blobs
-    out = np.concatenate(found_docs) if found_docs else np.zeros((0, 2), np.int64)
-    return pa.table({"id": pa.array(out[:, 0], pa.int64()), "key": pa.array(out[:, 1], pa.int64()), "marks": pa.array(found_marks, pa.binary())})
+        docs.append(np.frombuffer(d, np.int64).reshape(-1, 2)[np.frombuffer(at, np.uint32)])
+        marks.append(np.frombuffer(m, np.uint64))
+    keys, blobs = _by_doc(np.concatenate(docs), np.concatenate(marks))
+    return pa.table({"id": pa.array(keys[:, 0], pa.int64()), "key": pa.array(keys[:, 1], pa.int64()), "marks": pa.array(blobs, pa.binary())})
 
 
 def _runs(parts: int):
@@ -406,7 +417,8 @@ def remove_repeats(df: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     parts = max(16, -(-n_docs // DOCS_PER_PART))
     long_firsts = common.small(firsts.where(F.col("size") >= LENGTH).select(F.col("sha").alias("s"), "first"))
     lead = hashed.join(long_firsts, (F.col("sha") == F.col("s")) & (F.col("id") == F.col("first")), "left_semi").select("id", "key", "text")
-    shared = lead.mapInArrow(_count_anchors(parts), "part int, docs binary, places binary, marks binary").groupBy("part").applyInArrow(_shared_anchors, "id long, key long, marks binary")
+    blocks = lead.mapInArrow(_count_anchors(parts), f"part int, {SHARED_SCHEMA}").groupBy("part").applyInArrow(_shared_anchors, SHARED_SCHEMA)
+    shared = blocks.groupBy("block").applyInArrow(_of_block, "id long, key long, marks binary")
     lists = common.written(shared.groupBy("id", "key").agg(F.collect_list("marks").alias("marks")).select(F.col("id").alias("i"), F.col("key").alias("k"), "marks"), "substring-lists")
     here = (F.col("id") == F.col("i")) & (F.col("key") == F.col("k"))
     packed = lead.mapInArrow(_pack, "id long, key long, packed binary").join(lists, here).select("id", "key", "packed", "marks")

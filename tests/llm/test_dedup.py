@@ -41,6 +41,19 @@ def frame(spark, rows):
     return spark.createDataFrame(rows, DDL).withColumn("id", F.lit("x")).withColumn("h", F.lit(1)).repartition(3)
 
 
+def test_shared_anchors_are_told_per_block_not_per_document():
+    """A part gives a row a block, however many documents share its anchors."""
+    names = [np.array([(i + b, 7) for i in range(0, 200, 2)], np.int64) for b in (0, 1)]
+    at = np.arange(100, dtype=np.uint32)
+    marks = np.arange(100, dtype=np.uint32)
+    row = lambda part, block, docs, at, m: {"part": part, "block": block, "docs": docs.tobytes(), "places": at.tobytes(), "marks": m.tobytes()}
+    told = substrings._shared_anchors(pa.Table.from_pylist([row(3, 10, names[0], at, marks), row(3, 11, names[1], at, marks + 1)]))
+    assert told.num_rows == 2
+    mine = substrings._of_block(told.slice(0, 1))
+    whole = lambda m: (m << 32) | 3
+    assert {(i, k): np.frombuffer(m, np.uint64).tolist() for i, k, m in zip(*(mine.column(c).to_pylist() for c in ("id", "key", "marks")))} == {(2 * i, 7): [whole(i)] for i in range(1, 100)}
+
+
 def test_suffix_array_is_sorted():
     r = np.random.default_rng(1)
     for _ in range(300):
