@@ -236,3 +236,12 @@ def test_pipeline_stages(spark):
             exact = {i for i, t in text.items() if any(b["text"] in t for b in bench)}
             assert not exact & ids
         before = after
+
+
+def test_power_step_in_slices_gives_the_same_space(spark, monkeypatch):
+    """The slices that bound the fit's memory change no direction of the basis."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * 7 + j * j) % 50}" for j in range(60))) for i in range(40)], "doc_id long, text string")
+    whole = leaks.fit_space(docs, rank=4)
+    monkeypatch.setattr(leaks, "FIT_WORDS", 100)
+    sliced = leaks.fit_space(docs, rank=4)
+    assert np.allclose(whole.table @ whole.table.T, sliced.table @ sliced.table.T, rtol=1e-2, atol=1e-4)
