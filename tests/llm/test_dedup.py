@@ -171,6 +171,51 @@ def test_nearest_pairs_first_then_all():
     assert {i for p in near for i in p} == {i for p in every for i in p}
 
 
+def test_compatible_sets_keep_every_link():
+    """A pair that links is compatible at the first shingle that both have."""
+    r = np.random.default_rng(11)
+    linked = 0
+    for _ in range(400):
+        n = int(r.integers(1, 80))
+        base = r.permutation(400)[:n]
+        other = np.unique(np.concatenate([base[r.random(n) < r.uniform(0.7, 1)], r.integers(400, 800, r.integers(0, 1 + n // 4))]))
+        order = r.permutation(800)
+        a, b = (sorted(set(x.tolist()), key=lambda i: order[i]) for x in (base, other))
+        both = set(a) & set(b)
+        if both and 7 * len(both) >= 3 * (len(a) + len(b)):
+            first = min(both, key=lambda i: order[i])
+            assert shingles.compatible(np.array([len(a), len(b)]), np.array([a.index(first), b.index(first)]))[0, 1]
+            linked += 1
+    assert linked > 100
+
+
+def pivots(rows):
+    h, cls, n, place = (np.array(c, np.int64) for c in zip(*rows))
+    batch = pa.RecordBatch.from_arrays([pa.array(h), pa.array(cls), pa.array((n << 32) + place)], ["h", "cls", "at"])
+    return [r for b in shingles._pair_with_pivots(iter([batch])) for r in zip(*b.to_pydict().values())]
+
+
+def test_a_shared_passage_makes_no_bucket():
+    """Sets of one size that meet late in their prefixes share too little to link; a
+    bucket of two groups that do is two, and only the one with a pair beside the pivot's goes on."""
+    assert pivots([(7, c, 100, 20) for c in range(50)]) == []
+    got = pivots([(7, 1, 100, 3), (7, 2, 1000, 5), (7, 3, 101, 2), (7, 4, 1001, 9), (7, 5, 102, 0), (7, 6, 500, 1)])
+    assert {r[1:] for r in got if r[0] is None} == {(4, 1001, 2)}
+    assert {r[1:] for r in got if r[0] is not None} == {(1, 100, 1), (3, 101, 1), (5, 102, 1)}
+    assert len({r[0] for r in got}) == 2
+
+
+def test_a_search_leaves_out_its_own_component():
+    r = np.random.default_rng(12)
+    base = r.integers(0, 1 << 63, 120).astype(np.uint64)
+    sets = [np.unique(np.concatenate([r.choice(base, 112, replace=False), r.integers(0, 1 << 63, 8).astype(np.uint64)])) for _ in range(60)]
+    n, comp = np.array([len(s) for s in sets]), np.where(np.arange(60) < 40, 5, np.arange(60))
+    points = np.stack([shingles.count_vector(s) for s in sets])
+    every = set(zip(*(x.tolist() for x in shingles.RTree(points, n).search(points, n))))
+    got = set(zip(*(x.tolist() for x in shingles.RTree(points, n, comp).search(points, n, comp))))
+    assert got == {(i, j) for i, j in every if comp[i] != comp[j]}
+
+
 def test_near_duplicates_of_a_large_group(spark, monkeypatch):
     monkeypatch.setattr(shingles, "HOT", 2)
     monkeypatch.setattr(shingles, "BLOCK", 16)
