@@ -216,6 +216,18 @@ def test_a_search_leaves_out_its_own_component():
     assert got == {(i, j) for i, j in every if comp[i] != comp[j]}
 
 
+def test_blocks_of_one_component_do_not_meet(spark, monkeypatch):
+    monkeypatch.setattr(shingles, "BLOCK", 4)
+    rows = [(1, c, 50, 0 if c < 40 else c, 0) for c in range(48)]
+    got = shingles._pieces(spark.createDataFrame(rows, "h long, cls long, n int, comp long, c1 long")).collect()
+    meet = {}
+    for r in got:
+        meet.setdefault(r["piece"], set()).add(r["cls"])
+    pairs = {(a, b) for g in meet.values() for a in g for b in g if a < b}
+    assert {(a, b) for a in range(48) for b in range(max(a + 1, 40), 48)} <= pairs
+    assert len(got) < 48 * 6  # 12 blocks, all pairs of which are 48 * 12 rows
+
+
 def test_near_duplicates_of_a_large_group(spark, monkeypatch):
     monkeypatch.setattr(shingles, "HOT", 2)
     monkeypatch.setattr(shingles, "BLOCK", 16)
